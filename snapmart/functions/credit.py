@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numbers import digits_to_int
+from .numbers import found
 
 # Patterns of the loan-type list and the credit history text.
 AND_SEPARATOR = r"\s+and\s+"
@@ -39,13 +39,13 @@ def loan_items(text: Column) -> Column:
     return F.split(F.regexp_replace(text, AND_SEPARATOR, ","), ITEM_SEPARATOR)
 
 
-def history_months(text: Column) -> Column:
+def history_months(name: str) -> Column:
     """Months of a text such as ``22 Years and 1 Months``; a missing part counts 0."""
     years, months = (
-        F.coalesce(digits_to_int(F.regexp_extract(text, pattern, 1)), F.lit(0)).cast("bigint")
+        f"coalesce(try_cast({found(name, pattern, 1)} AS INT), 0L)"
         for pattern in (YEARS_TEXT, MONTHS_TEXT)
     )
-    return (years * 12 + months).try_cast("int")
+    return F.expr(f"try_cast({years} * 12 + {months} AS INT)")
 
 
 def debt_to_income(debt: Column, income: Column) -> Column:

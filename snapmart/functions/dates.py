@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .numbers import found
+
 # Date formats of the feeds.
 ISO_DATE = "yyyy-MM-dd"
 ISO_DATE_TEXT = r"^[+-]?\d{4,}-\d{2}-\d{2}$"
@@ -14,21 +16,20 @@ FILE_DATE = "yyyy_MM_dd"
 FILE_DATE_TEXT = r"(\d{4}_\d{2}_\d{2})"
 
 
-def iso_date(text: Column) -> Column:
-    """Date of a ``yyyy-MM-dd`` text; null for any other form."""
-    return F.try_to_date(F.when(text.rlike(ISO_DATE_TEXT), text), ISO_DATE)
+def iso_date(name: str) -> Column:
+    """Date of a ``yyyy-MM-dd`` text column; null for any other form."""
+    return F.expr(f"try_to_date({found(name, ISO_DATE_TEXT)}, '{ISO_DATE}')")
 
 
-def file_snapshot(name: Column, *, required: bool = True) -> Column:
-    """Snapshot date in a file name (``..._2024_01_01.csv``).
+def file_snapshot(name: str, *, required: bool = True) -> Column:
+    """Snapshot date in a column of file names (``..._2024_01_01.csv``).
 
     A name without a date fails the job unless ``required`` is false.
     """
-    found = F.regexp_extract(name, FILE_DATE_TEXT, 1)
-    date = F.try_to_date(F.when(found != "", found), FILE_DATE)
+    date = F.expr(f"try_to_date({found(name, FILE_DATE_TEXT, 1)}, '{FILE_DATE}')")
     if not required:
         return date
-    problem = F.raise_error(F.concat(F.lit("no snapshot date in file name "), name))
+    problem = F.raise_error(F.concat(F.lit("no snapshot date in file name "), F.col(name)))
     return F.coalesce(date, problem.cast("date"))
 
 

@@ -125,8 +125,8 @@ def click_integrity(raw: DataFrame, columns=CLICK_FEATURES) -> DataFrame:
         raw,
         {
             c: {
-                "unparsable": F.count_if(whole_number(F.col(c)).isNull()),
-                "non_integer": F.count_if(has_fraction(F.col(c))),
+                "unparsable": F.count_if(whole_number(c).isNull()),
+                "non_integer": F.count_if(has_fraction(c)),
             }
             for c in columns
         },

@@ -12,48 +12,50 @@ from ..functions.numbers import real_number, whole_number, zero_outside
 from ..functions.text import keep_only, null_unless
 
 
-def _typed(value: Column, source: str, target: str, strict: bool) -> Column:
+def typed(name: str, source: str, target: str, *, strict: bool) -> Column:
+    """Cast one column the way its feed is read."""
     if source != "string":
-        return value if source == target else value.try_cast(target)
+        return F.col(name).try_cast(target)
     if target == "int":
-        return whole_number(value)
+        return whole_number(name)
     if target == "float":
         # The ledger goes through doubles, feature files straight to floats.
-        return real_number(value, "double").cast("float") if strict else real_number(value)
-    if target == "date":
-        return value.try_cast("date") if strict else iso_date(value)
-    return value
-
-
-def clean_column(feed: Feed, name: str, source: str) -> Column:
-    """Clean and type one declared column: keep, allow, cast, limit."""
-    value = F.col(f"`{name}`")
-    if name in feed.keep:
-        value = keep_only(value, feed.keep[name])
-    if name in feed.allowed:
-        value = null_unless(value, feed.allowed[name])
-    value = _typed(value, source, feed.types[name], feed.strict)
-    if name in feed.ranges:
-        low, high = feed.ranges[name]
-        value = zero_outside(value, low, high, fill_null=feed.range_fills_null)
-    return value.alias(name)
+        return real_number(name, "double").cast("float") if strict else real_number(name)
+    return F.col(name).try_cast(target) if strict else iso_date(name)
 
 
 def conform(df: DataFrame, feed: Feed) -> DataFrame:
-    """Apply a feed's types and rules in one projection.
+    """Apply a feed's rules and types: keep characters, allow values, cast, limit ranges.
 
     Undeclared columns pass through and missing ones are skipped, except for strict
-    feeds, where a missing column is an error.
+    feeds, where a missing column is an error. Each step is one projection over the
+    columns it changes.
     """
-    missing = [c for c in feed.types if c not in df.columns]
+    source = dict(df.dtypes)
+    missing = [c for c in feed.types if c not in source]
     if feed.strict and missing:
         raise ValueError(f"{feed.table}: missing columns {missing}")
-    return df.select(
-        *[
-            clean_column(feed, name, source) if name in feed.types else F.col(f"`{name}`")
-            for name, source in df.dtypes
-        ]
+
+    def present(rules: dict) -> dict:
+        return {c: rule for c, rule in rules.items() if c in source}
+
+    steps = (
+        {c: keep_only(F.col(c), characters) for c, characters in present(feed.keep).items()},
+        {c: null_unless(F.col(c), pattern) for c, pattern in present(feed.allowed).items()},
+        {
+            c: typed(c, source[c], target, strict=feed.strict)
+            for c, target in present(feed.types).items()
+            if source[c] != target
+        },
+        {
+            c: zero_outside(F.col(c), *bounds, fill_null=feed.range_fills_null)
+            for c, bounds in present(feed.ranges).items()
+        },
     )
+    for changed in steps:
+        if changed:
+            df = df.withColumns(changed)
+    return df
 
 
 def with_arrears(loans: DataFrame) -> DataFrame:

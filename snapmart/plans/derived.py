@@ -1,147 +1,123 @@
 """The four raw feeds, derived from the given tables by column expressions.
 
-The same derivations are written in SQL in ``oracle.py``.
+``oracle.py`` holds the same derivations for DuckDB.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..feeds import ATTRIBUTES, CLICK_FEATURES, CLICKSTREAM, FINANCIALS, LOANS
 
+CUSTOMER_SNAPSHOT = "if(c_custkey % 13 = 0, '2024-02-01', '2024-01-01')"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(k: Column, n: int, special: Column | str, usual: Column) -> Column:
-    """``special`` for every n-th key, ``usual`` for the others, as text."""
-    if isinstance(special, str):
-        special = F.lit(special)
-    return F.when(k % n == 0, special).otherwise(usual.cast("string"))
-
-
-def _customer_id(k: Column) -> Column:
-    return F.concat(F.lit("CUS_"), k.cast("string"))
+def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{e} AS {name}" for name, e in columns.items()])
 
 
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    price, tenth = F.col("l_extendedprice"), F.col("l_extendedprice") / 10
-    quarter = F.col("l_quantity").cast("int") % 4
-    number = F.col("l_linenumber")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.concat_ws("_", F.lit("L"), F.col("l_orderkey"), number).alias("loan_id"),
-        _customer_id(F.col("o_custkey")).alias("Customer_ID"),
-        F.col("o_orderdate").cast("date").alias("loan_start_date"),
-        F.lit(10).alias("tenure"),
-        number.alias("installment_num"),
-        F.col("o_totalprice").alias("loan_amt"),
-        F.when(F.col("l_suppkey") % 25 == 0, 0.0).otherwise(tenth).alias("due_amt"),
-        (price / 20).alias("paid_amt"),
-        F.when(F.col("l_returnflag") == "R", tenth * quarter)
-        .when(F.col("l_returnflag") == "A", 0.0)
-        .alias("overdue_amt"),
-        (F.col("o_totalprice") - price).alias("balance"),
-        F.add_months(F.trunc("o_orderdate", "MM"), number).alias("snapshot_date"),
+    return _project(
+        lines.join(orders, lines.l_orderkey == orders.o_orderkey),
+        {
+            "loan_id": "concat_ws('_', 'L', l_orderkey, l_linenumber)",
+            "Customer_ID": "concat('CUS_', o_custkey)",
+            "loan_start_date": "date(o_orderdate)",
+            "tenure": "10",
+            "installment_num": "l_linenumber",
+            "loan_amt": "o_totalprice",
+            "due_amt": "if(l_suppkey % 25 = 0, 0D, l_extendedprice / 10)",
+            "paid_amt": "l_extendedprice / 20",
+            "overdue_amt": "CASE l_returnflag WHEN 'A' THEN 0D "
+            "WHEN 'R' THEN l_extendedprice / 10 * (int(l_quantity) % 4) END",
+            "balance": "o_totalprice - l_extendedprice",
+            "snapshot_date": "add_months(trunc(o_orderdate, 'MM'), l_linenumber)",
+        },
     )
 
 
-def _customer_snapshot(k: Column) -> Column:
-    return F.when(k % 13 == 0, "2024-02-01").otherwise("2024-01-01")
-
-
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    age = k % 130
-
-    def digits(modulus: int, width: int) -> Column:
-        return F.lpad((k % modulus).cast("string"), width, "0")
-
-    return (
-        table(spark, sf_dir, "customer")
-        .filter(k % 10 != 3)
-        .select(
-            _customer_id(k).alias("Customer_ID"),
-            F.col("c_name").alias("Name"),
-            F.when(k % 7 == 0, F.concat(age.cast("string"), F.lit("_")))
-            .otherwise(_every(k, 11, "-500", age))
-            .alias("Age"),
-            _every(
-                k, 5, "#F%$D@*&8", F.concat_ws("-", digits(900, 3), digits(90, 2), digits(450, 4))
-            ).alias("SSN"),
-            _every(k, 9, "_______", F.col("c_mktsegment")).alias("Occupation"),
-            _customer_snapshot(k).alias("snapshot_date"),
-        )
+    return _project(
+        table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 3"),
+        {
+            "Customer_ID": "concat('CUS_', c_custkey)",
+            "Name": "c_name",
+            "Age": "CASE WHEN c_custkey % 7 = 0 THEN concat(c_custkey % 130, '_') "
+            "WHEN c_custkey % 11 = 0 THEN '-500' ELSE string(c_custkey % 130) END",
+            "SSN": "if(c_custkey % 5 = 0, '#F%$D@*&8', concat_ws('-', "
+            "lpad(string(c_custkey % 900), 3, '0'), lpad(string(c_custkey % 90), 2, '0'), "
+            "lpad(string(c_custkey % 450), 4, '0')))",
+            "Occupation": "if(c_custkey % 9 = 0, '_______', c_mktsegment)",
+            "snapshot_date": CUSTOMER_SNAPSHOT,
+        },
     )
 
 
 def financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    income = F.col("c_acctbal").cast("string")
-    loan_lists = (
-        F.when(k % 8 == 0, None)
-        .when(k % 3 == 0, "Auto Loan, Payday Loan, and Credit-Builder Loan")
-        .when(k % 3 == 1, "Not Specified, and Auto Loan")
-        .otherwise("Student Loan ,Auto Loan")
-    )
-    history = F.concat(
-        (k % 30).cast("string"), F.lit(" Years and "), (k % 12).cast("string"), F.lit(" Months")
-    )
     columns = {
-        "Customer_ID": _customer_id(k),
-        "Annual_Income": _every(k, 6, F.concat(income, F.lit("_")), income),
-        "Monthly_Inhand_Salary": k % 700,
-        "Num_Bank_Accounts": k % 9,
-        "Num_Credit_Card": k % 7,
-        "Interest_Rate": F.when(k % 17 == 0, "5318").otherwise(_every(k, 19, "8_", k % 40)),
-        "Num_of_Loan": _every(k, 12, "-100", k % 5),
-        "Type_of_Loan": loan_lists,
-        "Delay_from_due_date": k % 60,
-        "Num_of_Delayed_Payment": _every(k, 14, "7_", k % 25),
-        "Changed_Credit_Limit": _every(k, 20, "_", k % 30),
-        "Num_Credit_Inquiries": k % 16,
-        "Credit_Mix": _every(k, 4, "_", F.lit("Standard")),
-        "Outstanding_Debt": k * 3 % 5000,
-        "Credit_Utilization_Ratio": k % 50,
-        "Credit_History_Age": _every(k, 10, "NA", history),
-        "Payment_of_Min_Amount": F.when(k % 3 == 0, "Yes").when(k % 3 == 1, "No").otherwise("NM"),
-        "Total_EMI_per_month": k % 90,
-        "Amount_invested_monthly": _every(k, 21, "__10000__", k % 200),
-        "Payment_Behaviour": _every(k, 23, "!@9#%8", F.lit("Low_spent_Small_value_payments")),
-        "Monthly_Balance": _every(k, 22, "-12--3", k % 900),
-        "snapshot_date": _customer_snapshot(k),
+        "Customer_ID": "concat('CUS_', c_custkey)",
+        "Annual_Income": "concat(c_acctbal, if(c_custkey % 6 = 0, '_', ''))",
+        "Monthly_Inhand_Salary": "c_custkey % 700",
+        "Num_Bank_Accounts": "c_custkey % 9",
+        "Num_Credit_Card": "c_custkey % 7",
+        "Interest_Rate": "CASE WHEN c_custkey % 17 = 0 THEN '5318' "
+        "WHEN c_custkey % 19 = 0 THEN '8_' ELSE string(c_custkey % 40) END",
+        "Num_of_Loan": "if(c_custkey % 12 = 0, -100, c_custkey % 5)",
+        "Type_of_Loan": "CASE WHEN c_custkey % 8 = 0 THEN NULL "
+        "WHEN c_custkey % 3 = 0 THEN 'Auto Loan, Payday Loan, and Credit-Builder Loan' "
+        "WHEN c_custkey % 3 = 1 THEN 'Not Specified, and Auto Loan' "
+        "ELSE 'Student Loan ,Auto Loan' END",
+        "Delay_from_due_date": "c_custkey % 60",
+        "Num_of_Delayed_Payment": "if(c_custkey % 14 = 0, '7_', string(c_custkey % 25))",
+        "Changed_Credit_Limit": "if(c_custkey % 20 = 0, '_', string(c_custkey % 30))",
+        "Num_Credit_Inquiries": "c_custkey % 16",
+        "Credit_Mix": "if(c_custkey % 4 = 0, '_', 'Standard')",
+        "Outstanding_Debt": "c_custkey * 3 % 5000",
+        "Credit_Utilization_Ratio": "c_custkey % 50",
+        "Credit_History_Age": "if(c_custkey % 10 = 0, 'NA', "
+        "concat(c_custkey % 30, ' Years and ', c_custkey % 12, ' Months'))",
+        "Payment_of_Min_Amount": "CASE c_custkey % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'No' ELSE 'NM' END",
+        "Total_EMI_per_month": "c_custkey % 90",
+        "Amount_invested_monthly": "if(c_custkey % 21 = 0, '__10000__', string(c_custkey % 200))",
+        "Payment_Behaviour": "if(c_custkey % 23 = 0, '!@9#%8', 'Low_spent_Small_value_payments')",
+        "Monthly_Balance": "if(c_custkey % 22 = 0, '-12--3', string(c_custkey % 900))",
+        "snapshot_date": CUSTOMER_SNAPSHOT,
     }
-    return table(spark, sf_dir, "customer").select(
-        *[c.cast("string").alias(name) for name, c in columns.items()]
+    return _project(
+        table(spark, sf_dir, "customer"), {name: f"string({e})" for name, e in columns.items()}
     )
 
 
-def _clicks(spark: SparkSession, sf_dir: str, feature) -> DataFrame:
-    base = F.floor("value")
-    step = F.col("event_id") % 7
-    return table(spark, sf_dir, "events").select(
-        *[
-            feature(base + i * step - 50).alias(name)
-            for i, name in enumerate(CLICK_FEATURES, start=1)
-        ],
-        _customer_id(F.col("user_id")).alias("Customer_ID"),
-        F.trunc("ts", "MM").cast("string").alias("snapshot_date"),
+def _clicks(spark: SparkSession, sf_dir: str, wrap: str) -> DataFrame:
+    values = {
+        name: wrap.format(f"string(floor(value) + {i} * (event_id % 7) - 50)")
+        for i, name in enumerate(CLICK_FEATURES, start=1)
+    }
+    return _project(
+        table(spark, sf_dir, "events"),
+        {
+            **values,
+            "Customer_ID": "concat('CUS_', user_id)",
+            "snapshot_date": "string(trunc(ts, 'MM'))",
+        },
     )
 
 
 def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _clicks(spark, sf_dir, lambda value: value.cast("string"))
+    return _clicks(spark, sf_dir, "{}")
 
 
 def clickstream_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows with fractions and unreadable values mixed in."""
-    event = F.col("event_id")
     return _clicks(
         spark,
         sf_dir,
-        lambda value: F.when(event % 50 == 0, "12.7").otherwise(_every(event, 70, "x", value)),
+        "CASE WHEN event_id % 50 = 0 THEN '12.7' WHEN event_id % 70 = 0 THEN 'x' ELSE {} END",
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,26 @@ FEATURES = "feature_store"
 MATCHED_FEATURES = "feature_store_matched"
 
 
+class Slices(Mapping):
+    """Frames by (table, date); a frame is built when it is asked for."""
+
+    def __init__(self, tables: dict[str, DataFrame], dates: list[dt.date]):
+        self.tables = tables
+        self.dates = dates
+
+    def __getitem__(self, key: tuple[str, dt.date]) -> DataFrame:
+        table, date = key
+        if date not in self.dates:
+            raise KeyError(key)
+        return self.tables[table].filter(F.col(SNAPSHOT) == F.lit(date))
+
+    def __iter__(self):
+        return ((table, date) for table in self.tables for date in self.dates)
+
+    def __len__(self) -> int:
+        return len(self.tables) * len(self.dates)
+
+
 class Mart:
     """Bronze, silver and gold tables under one root.
 
@@ -53,17 +74,13 @@ class Mart:
 
     def backfill(
         self, feeds: list[Feed], sources: list[DataFrame | str], dates: list[dt.date]
-    ) -> dict[tuple[str, dt.date], DataFrame]:
+    ) -> Slices:
         """Ingest every feed for every date; returns each slice by (table, date)."""
         if len(feeds) != len(sources):
             raise ValueError(f"{len(feeds)} feeds but {len(sources)} sources")
-        slices = {}
         for feed, source in zip(feeds, sources):
             self.ingest(feed, source, dates)
-            table = self.bronze(feed)
-            for date in dates:
-                slices[feed.table, date] = table.filter(F.col(SNAPSHOT) == F.lit(date))
-        return slices
+        return Slices({feed.table: self.bronze(feed) for feed in feeds}, dates)
 
     def bronze(self, feed: Feed, dates: list | None = None) -> DataFrame:
         return read_snapshots(

@@ -52,14 +52,9 @@ def query(build):
 
 def comparable(df: DataFrame, *rounded: str) -> DataFrame:
     """Floats as doubles; the given columns rounded to six digits."""
-    columns = []
-    for name, dtype in df.dtypes:
-        value = F.col(name)
-        if dtype in ("float", "double"):
-            value = value.cast("double")
-            value = F.round(value, 6) if name in rounded else value
-        columns.append(value.alias(name))
-    return df.select(*columns)
+    changed = {c: F.col(c).cast("double") for c, dtype in df.dtypes if dtype == "float"}
+    changed |= {c: F.round(F.col(c).cast("double"), 6) for c in rounded}
+    return df.withColumns(changed) if changed else df
 
 
 # Cleaned feeds ------------------------------------------------------------
@@ -133,7 +128,7 @@ def date_from_filename(spark, sf_dir):
     named = derived.table(spark, sf_dir, "orders").select(
         "o_orderkey", F.when(key % 10 == 0, "attributes.csv").otherwise(dated).alias("file_name")
     )
-    return named.select("*", file_snapshot(F.col("file_name"), required=False).alias(SNAPSHOT))
+    return named.select("*", file_snapshot("file_name", required=False).alias(SNAPSHOT))
 
 
 @query
@@ -248,7 +243,7 @@ def clean_ssn(spark, sf_dir):
 
 @query
 def enforce_age(spark, sf_dir):
-    age = zero_outside(whole_number(F.col("Age")), *feeds.AGE_RANGE)
+    age = zero_outside(whole_number("Age"), *feeds.AGE_RANGE)
     return derived.attributes(spark, sf_dir).select("Customer_ID", age.alias("Age"))
 
 
@@ -269,7 +264,7 @@ def clean_numerics(spark, sf_dir):
 
 
 def _interest(spark, sf_dir, fill_null):
-    rate = whole_number(F.col("Interest_Rate"))
+    rate = whole_number("Interest_Rate")
     rate = zero_outside(rate, *feeds.INTEREST_RANGE, fill_null=fill_null)
     return derived.financials(spark, sf_dir).select("Customer_ID", rate.alias("Interest_Rate"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..feeds import SNAPSHOT, Feed
-from ..functions.dates import file_snapshot, iso_date
+from ..functions.dates import file_snapshot
 
 CORRUPT = "_corrupt_record"
 
@@ -59,14 +59,15 @@ def scan_feed_files(spark: SparkSession, folder: str, feed: Feed) -> DataFrame:
     a name without a date fails.
     """
     rows = scan_csv(spark, folder, pattern=f"*{feed.stem}*.csv")
-    dated = file_snapshot(F.col("_metadata.file_name"))
-    kept = [F.col(c) for c in rows.columns if c != SNAPSHOT]
-    return rows.select(*kept, dated.alias(SNAPSHOT))
+    kept = [c for c in rows.columns if c != SNAPSHOT]
+    named = rows.select(*kept, F.col("_metadata.file_name").alias("source_file"))
+    return named.select(*kept, file_snapshot("source_file").alias(SNAPSHOT))
 
 
 def slice_snapshots(raw: DataFrame, dates: list) -> DataFrame:
     """Rows of the raw feed whose snapshot is one of ``dates``."""
-    day = F.col(SNAPSHOT)
-    if dict(raw.dtypes)[SNAPSHOT] == "string":
-        day = iso_date(day)
-    return raw.filter(day.isin(dates))
+    text = dict(raw.dtypes)[SNAPSHOT] == "string"
+    if text:
+        # ISO text equals its date, and text literals reach the scan as a pushed filter.
+        dates = [str(date) for date in dates]
+    return raw.filter(F.col(SNAPSHOT).isin(dates))
