@@ -52,6 +52,8 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Methods past this size are not compiled by the JVM: split them instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Without it every Column call looks up its Python call site.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

@@ -33,6 +33,12 @@ def file_snapshot(name: str, *, required: bool = True) -> Column:
     return F.coalesce(date, problem.cast("date"))
 
 
+def among(name: str, dates: list[dt.date], *, text: bool = False) -> Column:
+    """True for the given dates; ``text`` compares ISO strings."""
+    literals = ", ".join(f"{'' if text else 'DATE'}'{date}'" for date in dates)
+    return F.expr(f"`{name}` IN ({literals})") if dates else F.lit(False)
+
+
 def month_starts(start: Column, end: Column) -> Column:
     """Array of the first days of all months from start's month up to ``end``.
 

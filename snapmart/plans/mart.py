@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,15 @@ FEATURES = "feature_store"
 MATCHED_FEATURES = "feature_store_matched"
 
 
+def _together(build, *arguments) -> list:
+    """Run independent table builds as concurrent Spark jobs.
+
+    Small feeds use the executors that the tail of a large one leaves idle.
+    """
+    with ThreadPoolExecutor(max_workers=len(FEEDS)) as pool:
+        return list(pool.map(build, *arguments))
+
+
 class Slices(Mapping):
     """Frames by (table, date); a frame is built when it is asked for."""
 
@@ -78,8 +88,7 @@ class Mart:
         """Ingest every feed for every date; returns each slice by (table, date)."""
         if len(feeds) != len(sources):
             raise ValueError(f"{len(feeds)} feeds but {len(sources)} sources")
-        for feed, source in zip(feeds, sources):
-            self.ingest(feed, source, dates)
+        _together(lambda feed, source: self.ingest(feed, source, dates), feeds, sources)
         return Slices({feed.table: self.bronze(feed) for feed in feeds}, dates)
 
     def bronze(self, feed: Feed, dates: list | None = None) -> DataFrame:
@@ -144,16 +153,21 @@ class Mart:
         self, sources: dict[str, DataFrame | str], dates: list[dt.date], *, dpd: int = 30, mob: int = 6
     ) -> dict[str, int]:
         """Build every table from the sources; returns rows written per table."""
+        feeds = [FEEDS[name] for name in sources]
+
+        def clean(feed: Feed, source: DataFrame | str) -> tuple[int, int]:
+            return self.ingest(feed, source, dates), self.build_silver(feed, dates=dates)
+
         rows = {}
-        for name, source in sources.items():
-            feed = FEEDS[name]
-            rows[f"bronze/{name}"] = self.ingest(feed, source, dates)
-            rows[f"silver/{name}"] = self.build_silver(feed, dates=dates)
-        if LOANS.table in sources:
-            rows[f"gold/{LABELS}"] = self.build_labels(dpd, mob, dates)
-        if FINANCIALS.table in sources:
-            rows[f"gold/{FEATURES}"] = self.build_features(dates)
-        return rows
+        for feed, (raw, cleaned) in zip(feeds, _together(clean, feeds, sources.values())):
+            rows[f"bronze/{feed.table}"], rows[f"silver/{feed.table}"] = raw, cleaned
+        gold = {}
+        if LOANS in feeds:
+            gold[LABELS] = lambda: self.build_labels(dpd, mob, dates)
+        if FINANCIALS in feeds:
+            gold[FEATURES] = lambda: self.build_features(dates)
+        counts = _together(lambda build: build(), gold.values())
+        return rows | {f"gold/{name}": n for name, n in zip(gold, counts)}
 
 
 __all__ = ["FEATURES", "LABELS", "MATCHED_FEATURES", "Mart", "NoSnapshots"]

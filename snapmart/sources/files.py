@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..feeds import SNAPSHOT, Feed
-from ..functions.dates import file_snapshot
+from ..functions.dates import among, file_snapshot
 
 CORRUPT = "_corrupt_record"
 
@@ -29,13 +29,13 @@ def scan_csv(
     unreadable or vanished files out instead of failing; without it nothing is lost
     silently.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    # Every file's header is checked, so columns cannot swap places between files.
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     if schema is not None:
         if keep_corrupt:
             schema = f"{schema}, `{CORRUPT}` string"
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-        # The header is checked against the schema, so columns cannot swap places.
-        reader = reader.schema(schema).option("enforceSchema", False)
+        reader = reader.schema(schema)
     elif infer:
         reader = reader.option("inferSchema", True)
     if pattern:
@@ -66,8 +66,5 @@ def scan_feed_files(spark: SparkSession, folder: str, feed: Feed) -> DataFrame:
 
 def slice_snapshots(raw: DataFrame, dates: list) -> DataFrame:
     """Rows of the raw feed whose snapshot is one of ``dates``."""
-    text = dict(raw.dtypes)[SNAPSHOT] == "string"
-    if text:
-        # ISO text equals its date, and text literals reach the scan as a pushed filter.
-        dates = [str(date) for date in dates]
-    return raw.filter(F.col(SNAPSHOT).isin(dates))
+    # ISO text equals its date, and literals of the column's type reach the scan.
+    return raw.filter(among(SNAPSHOT, dates, text=dict(raw.dtypes)[SNAPSHOT] == "string"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..feeds import SNAPSHOT
+from ..functions.dates import among
 
 _NO_DATA = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
@@ -76,7 +77,7 @@ def read_snapshots(
         if problem.getCondition() in _NO_DATA:
             raise NoSnapshots(f"no snapshots under {path}") from problem
         raise
-    return table if dates is None else table.filter(F.col(SNAPSHOT).isin(dates))
+    return table if dates is None else table.filter(among(SNAPSHOT, dates))
 
 
 def optional_snapshots(

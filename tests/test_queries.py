@@ -1,0 +1,55 @@
+"""Registered queries against DuckDB, and the shape of their plans."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.check_oracle import compare, connect
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query_matches_sql(spark, con, name):
+    assert compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql()[name]) is None
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["loan_id", "Customer_ID", "label", "label_def", "snapshot_date"]
+    assert df.count() == 850
+
+
+PLANNED = ("loan_silver", "label_store", "financials_silver", "gold_features", "profile_table", "duplicate_rows")
+
+
+@pytest.mark.parametrize("name", PLANNED)
+def test_plans_stay_in_the_jvm(spark, name):
+    df = entry.queries()[name](spark, SF)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+    assert "SinglePartition" not in text or name == "profile_table"
+
+
+def test_label_scan_reads_only_its_columns(spark):
+    text = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "l_shipdate" not in text and "o_totalprice" not in text
+
+
+def test_gold_shuffles_each_input_once(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = entry.queries()["gold_features"](spark, SF)
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert text.count("Exchange hashpartitioning") == 3

@@ -1,0 +1,171 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from snapmart.feeds import ATTRIBUTES, CLICKSTREAM, LOANS
+from snapmart.functions.dates import month_calendar
+from snapmart.plans.workdir import scratch_path
+from snapmart.sources import tables
+from snapmart.sources.files import CORRUPT, scan_csv, scan_feed_files, slice_snapshots, with_source_file
+
+JAN, FEB, MAR = (dt.date(2024, m, 1) for m in (1, 2, 3))
+
+
+def rows(spark, *data):
+    return spark.createDataFrame(list(data), "k string, v int, snapshot_date date")
+
+
+def content(df):
+    return sorted((r.k, r.v, r.snapshot_date) for r in df.collect())
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_write_replaces_only_the_given_snapshots(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert tables.write_snapshots(rows(spark, ("a", 1, JAN), ("b", 2, FEB)), path) == 2
+    assert tables.write_snapshots(rows(spark, ("c", 3, FEB)), path) == 1
+    want = [("a", 1, JAN), ("c", 3, FEB)]
+    assert content(tables.read_snapshots(spark, path)) == want
+    tables.write_snapshots(rows(spark, ("c", 3, FEB)), path)  # again: no change
+    assert content(tables.read_snapshots(spark, path)) == want
+
+
+def test_a_large_month_becomes_several_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(5000).selectExpr("string(id) k", "int(id) v", "date'2024-01-01' snapshot_date")
+    assert tables.write_snapshots(df, path, max_records_per_file=1000) == 5000
+    files = tables.read_snapshots(spark, path).select(F.input_file_name()).distinct().count()
+    assert files >= 5
+
+
+def test_rebalance_splits_one_month(spark, tmp_path):
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        df = spark.range(0, 200000, 1, 8).selectExpr(
+            "sha2(string(id), 256) k", "int(id) v", "date'2024-01-01' snapshot_date"
+        )
+        path = str(tmp_path / "t")
+        assert tables.write_snapshots(df, path) == 200000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = tables.read_snapshots(spark, path).select(F.input_file_name()).distinct().count()
+    assert files > 1
+
+
+def test_date_filter_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_snapshots(rows(spark, ("a", 1, JAN), ("b", 2, FEB)), path)
+    df = tables.read_snapshots(spark, path, dates=[FEB]).filter("v > 1").select("v")
+    text = plan(df)
+    assert "PartitionFilters: [isnotnull(snapshot_date" in text
+    assert "GreaterThan(v,1)" in text and "ReadSchema: struct<v:int>" in text
+    assert [r.v for r in df.collect()] == [2]
+    newest = tables.latest_snapshot(tables.read_snapshots(spark, path))
+    assert content(newest) == [("b", 2, FEB)]
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan(newest)
+
+
+def test_missing_tables(spark, tmp_path):
+    with pytest.raises(tables.NoSnapshots):
+        tables.read_snapshots(spark, str(tmp_path / "none"))
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(tables.NoSnapshots):
+        tables.read_snapshots(spark, str(tmp_path / "empty"))
+    absent = tables.optional_snapshots(spark, str(tmp_path / "none"), CLICKSTREAM.ddl())
+    assert absent.count() == 0 and dict(absent.dtypes)["fe_1"] == "int"
+
+
+def test_merge_schema_joins_months_with_different_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_snapshots(rows(spark, ("a", 1, JAN)), path)
+    tables.write_snapshots(rows(spark, ("b", 2, FEB)).withColumn("extra", F.lit(5)), path)
+    df = tables.read_snapshots(spark, path, merge_schema=True)
+    assert {r.k: r.extra for r in df.collect()} == {"a": None, "b": 5}
+
+
+def test_dates_and_unions(spark):
+    a = rows(spark, ("a", 1, JAN), ("b", 2, FEB), ("c", 2, FEB))
+    b = rows(spark, ("x", 1, FEB), ("y", 2, MAR), ("z", 2, FEB))
+    common = tables.common_snapshots(a, b)
+    assert [r.snapshot_date for r in common.collect()] == [FEB]
+    assert content(tables.in_snapshots(a, common)) == [("b", 2, FEB), ("c", 2, FEB)]
+    assert tables.union_frames(a, a, b.drop("v")).count() == 9
+    assert content(tables.preview(b, ["k"], 2)) == [("x", 1, FEB), ("y", 2, MAR)]
+    months = month_calendar(spark, "2024-01-01", "2024-02-10")
+    assert sorted(r.snapshot_date for r in tables.snapshot_dates(a).collect()) == [
+        r.snapshot_date for r in months.orderBy("snapshot_date").collect()
+    ]
+
+
+def write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+
+
+def test_monthly_files_take_their_date_from_the_name(spark, tmp_path):
+    head = "Customer_ID,Age,snapshot_date\n"
+    write(tmp_path / "bronze_features_attributes_2024_01_01.csv", head + "1,20,2024-01-01\n")
+    write(tmp_path / "bronze_features_attributes_2024_02_01.csv", head + "1,21,wrong\n2,x,\n")
+    write(tmp_path / "bronze_features_financials_2024_02_01.csv", head + "9,9,2024-02-01\n")
+    df = scan_feed_files(spark, str(tmp_path), ATTRIBUTES)
+    assert sorted((r.Customer_ID, r.Age, r.snapshot_date) for r in df.collect()) == [
+        ("1", "20", JAN),
+        ("1", "21", FEB),
+        ("2", "x", FEB),
+    ]
+    write(tmp_path / "bronze_features_attributes_undated.csv", head + "1,20,2024-01-01\n")
+    with pytest.raises(Exception, match="no snapshot date"):
+        scan_feed_files(spark, str(tmp_path), ATTRIBUTES).collect()
+
+
+def test_files_with_swapped_columns_are_refused(spark, tmp_path):
+    write(tmp_path / "a.csv", "p,q\n1,2\n")
+    write(tmp_path / "b.csv", "q,p\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_csv(spark, str(tmp_path)).collect()
+
+
+def test_csv_options(spark, tmp_path):
+    write(tmp_path / "a.csv", "p,q\n1,x\nbad,y\n")
+    (tmp_path / "skip.txt").write_text("nothing")
+    path = str(tmp_path)
+    text = with_source_file(scan_csv(spark, path, pattern="*.csv"))
+    assert [tuple(r) for r in text.collect()] == [("1", "x", "a.csv"), ("bad", "y", "a.csv")]
+    inferred = scan_csv(spark, str(tmp_path / "a.csv"), infer=True)
+    assert dict(inferred.dtypes) == {"p": "string", "q": "string"}
+    corrupt = scan_csv(spark, str(tmp_path / "a.csv"), schema="p int, q string", keep_corrupt=True)
+    assert [(r.p, r.q, r[CORRUPT]) for r in corrupt.collect()] == [(1, "x", None), (None, "y", "bad,y")]
+
+
+def test_unreadable_files_fail_unless_skipped(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(b"p\n1\n"))
+    (tmp_path / "b.csv.gz").write_bytes(b"\x1f\x8b broken")
+    with pytest.raises(Exception):
+        scan_csv(spark, str(tmp_path), schema="p string").collect()
+    kept = scan_csv(spark, str(tmp_path), schema="p string", skip_bad_files=True)
+    assert [r.p for r in kept.collect()] == ["1"]
+
+
+def test_slice_pushes_the_date_into_the_scan(spark, tmp_path):
+    write(tmp_path / "a.csv", "k,snapshot_date\n1,2024-01-01\n2,2024-02-01\n3,2024-1-1\n")
+    df = slice_snapshots(scan_csv(spark, str(tmp_path)), [JAN])
+    assert [r.k for r in df.collect()] == ["1"]
+    assert "PushedFilters: [IsNotNull(snapshot_date), EqualTo(snapshot_date,2024-01-01)]" in plan(df)
+
+
+def test_scratch_path_needs_a_shared_folder(spark):
+    one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert one != two
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared is None or one.startswith(shared)
+
+
+def test_raw_schema_text(spark):
+    assert spark.createDataFrame([], LOANS.ddl(text=True)).dtypes == [(c, "string") for c in LOANS.types]
