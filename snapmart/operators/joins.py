@@ -90,71 +90,82 @@ def find_heavy_keys(
 
 
 class KeyGrid:
-    """Cells for the heavy keys of a left and a right frame."""
+    """Cells for the heavy keys of a left and a right frame.
+
+    Only the directions some key needs become columns: with no heavy key on the right
+    there are no right cells, and without heavy keys there is no grid at all.
+    """
 
     def __init__(self, left: DataFrame, heavy: HeavyKeys):
         self.keys = list(heavy.keys)
-        self.active = bool(heavy)
-        self.on = [*self.keys, *CELL] if self.active else self.keys
-        if not self.active:
-            return
         size = heavy.rows_per_cell
-        cells = []
+        sized = []
         for *key, n_left, n_right in heavy.rows:
             # A null key matches nothing: its left rows are dealt, never copied.
             copies = 1 if None in key else max(1, -(-n_right // size))
-            cells.append((*key, max(1, -(-n_left // size)), copies))
-        types = dict(left.dtypes)
-        schema = ", ".join(f"`{k}` {types[k]}" for k in self.keys)
-        self._cells = left.sparkSession.createDataFrame(
-            cells, f"{schema}, n_left bigint, n_right bigint"
-        )
-
-    def _sized(self, df: DataFrame) -> DataFrame:
-        """Add the grid size of each row's key; at most a few thousand rows broadcast."""
-        cells = F.broadcast(self._cells.withColumnsRenamed({k: f"_{k}" for k in self.keys}))
-        same = reduce(
-            lambda a, b: a & b, [df[k].eqNullSafe(cells[f"_{k}"]) for k in self.keys]
-        )
-        return (
+            sized.append((*key, max(1, -(-n_left // size)), copies))
+        self.deals_left = any(row[-2] > 1 for row in sized)
+        self.deals_right = any(row[-1] > 1 for row in sized)
+        used = (self.deals_left, self.deals_right)
+        self.on = self.keys + [cell for cell, needed in zip(CELL, used) if needed]
+        if self.active:
+            types = dict(left.dtypes)
+            schema = ", ".join(f"`{k}` {types[k]}" for k in self.keys)
+            self._sizes = left.sparkSession.createDataFrame(
+                sized, f"{schema}, n_left bigint, n_right bigint"
+            )
+
+    @property
+    def active(self) -> bool:
+        return self.deals_left or self.deals_right
+
+    def _place(self, df: DataFrame, left_cell: Column, right_cell: Column) -> DataFrame:
+        """Add the cells of each row, from the grid size of its key.
+
+        The sizes are broadcast: at most ``SHARE`` rows per frame examined.
+        """
+        sizes = F.broadcast(self._sizes.withColumnsRenamed({k: f"_{k}" for k in self.keys}))
+        same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(sizes[f"_{k}"]) for k in self.keys])
+        placed = (
             df.withColumn("_at", F.monotonically_increasing_id())
-            .join(cells, same, "left")
-            .drop(*[f"_{k}" for k in self.keys])
+            .join(sizes, same, "left")
             .fillna(1, ["n_left", "n_right"])
         )
+        if self.deals_left:
+            placed = placed.withColumn(CELL[0], left_cell)
+        if self.deals_right:
+            placed = placed.withColumn(CELL[1], right_cell)
+        return placed.drop("_at", "n_left", *[f"_{k}" for k in self.keys])
 
     @staticmethod
-    def _each(size: str) -> Column:
+    def _dealt(size: str) -> Column:
+        return F.pmod(F.col("_at"), F.col(size))
+
+    @staticmethod
+    def _copied(size: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(size) - 1))
 
     def left(self, df: DataFrame) -> DataFrame:
         """Deal rows over the left cells, copy them along the right cells."""
-        if not self.active:
-            return df
-        sized = self._sized(df).withColumn(CELL[0], F.pmod("_at", "n_left"))
-        return sized.withColumn(CELL[1], self._each("n_right")).drop("_at", "n_left")
+        return self._place(df, self._dealt("n_left"), self._copied("n_right")) if self.active else df
 
     def right(self, df: DataFrame) -> DataFrame:
         """Copy rows along the left cells, deal them over the right cells."""
         if not self.active:
             return df
         known = df.dropna(subset=self.keys)
-        sized = self._sized(known).withColumn(CELL[1], F.pmod("_at", "n_right"))
-        return sized.withColumn(CELL[0], self._each("n_left")).drop("_at", "n_left", "n_right")
+        return self._place(known, self._copied("n_left"), self._dealt("n_right")).drop("n_right")
 
     def every(self, df: DataFrame) -> DataFrame:
         """Copy rows into every cell: for frames with one row per key."""
         if not self.active:
             return df
-        sized = self._sized(df).withColumn(CELL[0], self._each("n_left"))
-        return sized.withColumn(CELL[1], self._each("n_right")).drop("_at", "n_left", "n_right")
+        return self._place(df, self._copied("n_left"), self._copied("n_right")).drop("n_right")
 
     def join(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
         """Join two frames placed on the grid; ``how`` is inner or left."""
-        if not self.active:
-            return left.join(right, self.on, how)
-        if how == "inner":
-            return left.drop("n_right").join(right, self.on, how)
+        if how == "inner" or not self.deals_right:
+            return (left.drop("n_right") if self.active else left).join(right, self.on, how)
         joined = left.join(right.withColumn("_hit", F.lit(True)), self.on, how)
         # With several right cells the key is known to be on the right, so the left
         # row has its match in some cell; its copies in the others are not results.
@@ -162,7 +173,7 @@ class KeyGrid:
 
     def done(self, df: DataFrame) -> DataFrame:
         """Drop the cells."""
-        return df.drop(*CELL)
+        return df.drop(*CELL) if self.active else df
 
 
 def rows_with_repeated_key(
