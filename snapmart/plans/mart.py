@@ -156,7 +156,8 @@ class Mart:
         feeds = [FEEDS[name] for name in sources]
 
         def clean(feed: Feed, source: DataFrame | str) -> tuple[int, int]:
-            return self.ingest(feed, source, dates), self.build_silver(feed, dates=dates)
+            raw = self.ingest(feed, source, dates)
+            return raw, self.build_silver(feed, dates=dates) if raw else 0
 
         rows = {}
         for feed, (raw, cleaned) in zip(feeds, _together(clean, feeds, sources.values())):

@@ -83,9 +83,9 @@ def read_snapshots(
 def optional_snapshots(
     spark: SparkSession, path: str, schema: str, *, dates: list | None = None
 ) -> DataFrame:
-    """The table, or an empty frame with its schema when it does not exist."""
+    """The table, or an empty frame of the given schema when it does not exist."""
     try:
-        return read_snapshots(spark, path, dates=dates, schema=schema)
+        return read_snapshots(spark, path, dates=dates)
     except NoSnapshots:
         return spark.createDataFrame([], schema)
 

@@ -93,6 +93,14 @@ def test_features_without_the_optional_tables(spark, sources, dates, tmp_path):
         alone.silver(ATTRIBUTES)
 
 
+def test_feed_without_rows_in_the_period(spark, sources, tmp_path):
+    quiet = Mart(spark, str(tmp_path))
+    dates = [dt.date(2024, 2, 1)]  # no clicks in February
+    counts = quiet.run({t: sources[t] for t in ("financials", "clickstream")}, dates)
+    assert counts["bronze/clickstream"] == counts["silver/clickstream"] == 0
+    assert counts["gold/feature_store"] == counts["silver/financials"] > 0
+
+
 def test_matched_features_need_all_three(spark, mart):
     n = mart.build_matched_features()
     gold = mart.gold(MATCHED_FEATURES)

@@ -34,6 +34,12 @@ def test_write_replaces_only_the_given_snapshots(spark, tmp_path):
     assert content(tables.read_snapshots(spark, path)) == want
 
 
+def test_rows_without_a_date_are_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert tables.write_snapshots(rows(spark, ("a", 1, JAN), ("b", 2, None)), path) == 2
+    assert {(r.k, r.snapshot_date) for r in tables.read_snapshots(spark, path).collect()} == {("a", JAN), ("b", None)}
+
+
 def test_a_large_month_becomes_several_files(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(5000).selectExpr("string(id) k", "int(id) v", "date'2024-01-01' snapshot_date")
