@@ -71,6 +71,13 @@ def test_heavy_rows_spread_over_cells(spark):
     assert per_cell < 60
 
 
+def test_cells_are_found_by_hash(spark):
+    left = frame(spark, [("h", 1, 7)] * 30, "l")
+    grid = KeyGrid(left, find_heavy_keys([left, left], KEYS, rows_per_cell=10))
+    text = grid.left(left)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "NestedLoop" not in text
+
+
 def test_no_heavy_key_leaves_the_plain_join(spark):
     left = frame(spark, make_rows(1, 60, ("h", 1)), "l")
     heavy = find_heavy_keys([left], KEYS)
