@@ -351,14 +351,16 @@ def _count_if(condition: str, name: str) -> str:
     return f"count(*) FILTER (WHERE {condition}) AS {name}"
 
 
-def _domain_counts(sources: dict[str, str], dated: bool = True) -> str:
-    date = "snapshot_date, " if dated else ""
+def _domain_counts(sources: dict[str, str], date: str = "snapshot_date, ", where: str = "") -> str:
     return " UNION ALL ".join(
-        f"SELECT '{d}' AS domain, {date}count(*) AS n FROM {t} GROUP BY ALL"
+        f"SELECT '{d}' AS domain, {date}count(*) AS n FROM {t} {where} GROUP BY ALL"
         for d, t in sources.items()
     )
 
 
+IN_CALENDAR = "CAST(snapshot_date AS DATE) BETWEEN DATE '1990-01-01' AND DATE '2030-12-01'"
+
+
 AGE_OUTSIDE = f"Age < {AGE_RANGE[0]} OR Age > {AGE_RANGE[1]}"
 RATE_OUTSIDE = f"Interest_Rate < {INTEREST_RANGE[0]} OR Interest_Rate > {INTEREST_RANGE[1]}"
 
@@ -385,16 +387,16 @@ LEFT JOIN orders ON CAST(date_trunc('month', o_orderdate) AS DATE) = m.snapshot_
     "write_roundtrip": ATTRIBUTES,
     "bronze_slice": f"SELECT {', '.join(LOAN_TYPES)} FROM loan_daily "
     "WHERE snapshot_date = DATE '1998-06-01'",
-    "bronze_backfill": "SELECT domain, CAST(snapshot_date AS DATE) AS snapshot_date, n FROM ("
-    + _domain_counts(
+    "bronze_backfill": _domain_counts(
         {
             "loan_daily": "loan_daily",
             "attributes": "raw_attributes",
             "financials": "raw_financials",
             "clickstream": "raw_clicks",
-        }
-    ).replace("snapshot_date,", "CAST(snapshot_date AS DATE) AS snapshot_date,")
-    + ")",
+        },
+        date="CAST(snapshot_date AS DATE) AS snapshot_date, ",
+        where=f"WHERE {IN_CALENDAR}",
+    ),
     "mart_build": _domain_counts(
         {
             "silver/loan_daily": "loans",
@@ -403,9 +405,11 @@ LEFT JOIN orders ON CAST(date_trunc('month', o_orderdate) AS DATE) = m.snapshot_
             "silver/clickstream": "clicks",
             "gold/feature_store": "features",
         },
-        dated=False,
+        date="",
+        where=f"WHERE {IN_CALENDAR}",
     )
-    + " UNION ALL SELECT 'gold/label_store' AS domain, count(*) AS n FROM loans WHERE mob = 6",
+    + " UNION ALL SELECT 'gold/label_store' AS domain, count(*) AS n FROM loans "
+    f"WHERE mob = 6 AND {IN_CALENDAR}",
     "loan_cast": f"SELECT {doubles(LOAN_TYPES, LOAN_TYPES)} FROM typed_loans",
     "attributes_cast": f"SELECT Customer_ID, Name, {whole('Age')} AS Age, SSN, Occupation, "
     f"{iso('snapshot_date')} AS snapshot_date FROM raw_attributes",
