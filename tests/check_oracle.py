@@ -78,7 +78,7 @@ def main() -> int:
     con = connect(sf_dir)
     queries, oracle = entry.queries(), entry.oracle_sql()
     bad = 0
-    for name in sys.argv[2:] or queries:
+    for name in sys.argv[2:] or oracle:
         start = time.time()
         problem = compare(spark, con, sf_dir, name, queries[name], oracle[name])
         bad += problem is not None

