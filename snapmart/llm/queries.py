@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from snapmart.llm import exact_dedup
+from snapmart.llm.decontamination import op4_decontamination
+from snapmart.llm.exact_dedup import op7_exact_dedup
+from snapmart.llm.html_wrappers import op6_html
+from snapmart.llm.pii import op3_pii
 from snapmart.llm.piece_encoding import op10_sentencepiece
+from snapmart.llm.secrets import op8_secrets
 from snapmart.llm.sharding import op1_sharding
+from snapmart.llm.simhash import op5_simhash
+from snapmart.llm.toxicity import op2_toxicity
 from snapmart.llm.url_filter import op9_url_filter
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_toxicity": op2_toxicity,
+    "op3_pii": op3_pii,
+    "op4_decontamination": op4_decontamination,
+    "op5_simhash": op5_simhash,
+    "op6_html": op6_html,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op8_secrets": op8_secrets,
     "op9_url_filter": op9_url_filter,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op7_exact_dedup": exact_dedup.SQL}
