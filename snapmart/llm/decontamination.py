@@ -41,8 +41,8 @@ PART = 64
 LEAST_SCORE = 0.6
 LEAST_OVERLAP = 0.8
 SHINGLE = 5
-#: Postings in a block, and bytes of item texts in one index.
-BLOCK = 32
+#: Parts in a block, and bytes of item texts in one index.
+BLOCK = 8
 INDEX_BYTES = 16 << 20
 
 _WORD = re.compile(r"\w+")
@@ -69,74 +69,87 @@ def parts_of(words: list[str]) -> list[list[str]]:
 
 
 class Index:
-    """Postings with normalised impacts, and their largest values by word and by block."""
+    """Postings with normalised impacts, and their largest values by word and by block of parts.
+
+    Parts are numbered by length, so that those of a block have impacts of a like size.
+    """
 
     def __init__(self, items: list[tuple[int, str]], held_by: dict[str, int], n_parts: int, mean_words: float):
         self.items = [(i, *question_and_answer(text)) for i, text in items]
-        self.item_of: list[int] = []
+        parts = sorted(((p, k) for k, (_, text) in enumerate(items) for p in parts_of(words_of(text))), key=lambda x: len(x[0]))
+        self.item_of = [k for _, k in parts]
         raw: dict[str, list[tuple[int, float]]] = {}
-        for k, (_, text) in enumerate(items):
-            for part in parts_of(words_of(text)):
-                counts = Counter(part)
-                norm = K1 * (1 - B + B * len(part) / mean_words)
-                impact = {
-                    w: np.log(1 + (n_parts - held_by[w] + 0.5) / (held_by[w] + 0.5)) * n * (K1 + 1) / (n + norm)
-                    for w, n in counts.items()
-                }
-                total = sum(impact.values())
-                for w, x in impact.items():
-                    raw.setdefault(w, []).append((len(self.item_of), x / total))
-                self.item_of.append(k)
+        for number, (part, _) in enumerate(parts):
+            counts = Counter(part)
+            norm = K1 * (1 - B + B * len(part) / mean_words)
+            impact = {
+                w: np.log(1 + (n_parts - held_by[w] + 0.5) / (held_by[w] + 0.5)) * n * (K1 + 1) / (n + norm)
+                for w, n in counts.items()
+            }
+            total = sum(impact.values())
+            for w, x in impact.items():
+                raw.setdefault(w, []).append((number, float(x / total)))
         self.term = {w: t for t, w in enumerate(raw)}
         self.parts = [[p for p, _ in raw[w]] for w in raw]
         self.impacts = [[x for _, x in raw[w]] for w in raw]
-        self.blocks = [[max(xs[b : b + BLOCK]) for b in range(0, len(xs), BLOCK)] for xs in self.impacts]
+        self.blocks: list[dict[int, float]] = []
+        for own, impacts in zip(self.parts, self.impacts):
+            most: dict[int, float] = {}
+            for p, x in zip(own, impacts):
+                most[p // BLOCK] = max(most.get(p // BLOCK, 0.0), x)
+            self.blocks.append(most)
+        self.block_ids = [np.fromiter(m, np.int64, len(m)) for m in self.blocks]
+        self.block_most = [np.fromiter(m.values(), np.float64, len(m)) for m in self.blocks]
+        self.n_blocks = -(-len(parts) // BLOCK)
         self.most = np.array([max(xs) for xs in self.impacts] + [0.0])
 
+    def live_blocks(self, terms: list[int], least: float) -> list[int]:
+        """Blocks whose largest impacts add up to `least` for the query."""
+        if not terms:
+            return []
+        ids = np.concatenate([self.block_ids[t] for t in terms])
+        bounds = np.bincount(ids, np.concatenate([self.block_most[t] for t in terms]), self.n_blocks)
+        return np.flatnonzero(bounds >= least - 1e-9).tolist()
+
     def search(self, terms: list[int], least: float) -> list[tuple[int, float]]:
-        """All parts that score at least `least` for a query of distinct terms, by block-max WAND."""
+        """All parts that score at least `least` for a query of distinct terms, by block-max WAND.
+
+        Blocks whose bound is too small are passed over; within the others cursors move to the
+        pivot, the first part whose words' bounds in the block can add up to enough.
+        """
         found = []
-        most = self.most
-        cursors = [[self.parts[t][0], 0, t] for t in terms]
-        while cursors:
-            cursors.sort()
-            total, pivot = 0.0, -1
-            for k, (_, _, t) in enumerate(cursors):
-                total += most[t]
-                if total >= least - 1e-9:
-                    pivot = k
+        for block in self.live_blocks(terms, least):
+            stop = (block + 1) * BLOCK
+            bound = {t: self.blocks[t][block] for t in terms if block in self.blocks[t]}
+            cursors = []
+            for t in bound:
+                at = bisect_left(self.parts[t], block * BLOCK)
+                cursors.append((self.parts[t][at], at, t))
+            while cursors:
+                cursors.sort()
+                total, pivot = 0.0, -1
+                for k, (_, _, t) in enumerate(cursors):
+                    total += bound[t]
+                    if total >= least - 1e-9:
+                        pivot = k
+                        break
+                if pivot < 0:
                     break
-            if pivot < 0:
-                break
-            part = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == part:
-                pivot += 1
-            bound, after = 0.0, len(self.item_of)
-            for _, at, t in cursors[: pivot + 1]:
-                own = self.parts[t]
-                at = bisect_left(own, part, at)
-                if at < len(own):
-                    bound += self.blocks[t][at // BLOCK]
-                    end = (at // BLOCK + 1) * BLOCK
-                    after = min(after, own[end] if end < len(own) else len(self.item_of))
-            if bound < least - 1e-9:
-                # No part before the next block's start, or the next cursor, can score enough.
-                target = min(after, cursors[pivot + 1][0]) if pivot + 1 < len(cursors) else after
-                target = max(target, part + 1)
-                moved = pivot + 1
-            elif cursors[0][0] == part:
-                score = sum(self.impacts[t][at] for p, at, t in cursors[: pivot + 1] if p == part)
-                if score >= least - 1e-9:
-                    found.append((part, score))
-                target, moved = part + 1, pivot + 1
-            else:
-                target, moved = part, pivot
-            rest = cursors[moved:]
-            for _, at, t in cursors[:moved]:
-                at = bisect_left(self.parts[t], target, at)
-                if at < len(self.parts[t]):
-                    rest.append([self.parts[t][at], at, t])
-            cursors = rest
+                part = cursors[pivot][0]
+                if cursors[0][0] == part:
+                    same = [c for c in cursors if c[0] == part]
+                    score = sum(self.impacts[t][at] for _, at, t in same)
+                    if score >= least - 1e-9:
+                        found.append((part, score))
+                    moved, target = len(same), part + 1
+                else:
+                    moved, target = pivot, part
+                rest = cursors[moved:]
+                for _, at, t in cursors[:moved]:
+                    at = bisect_left(self.parts[t], target, at)
+                    if at < len(self.parts[t]) and self.parts[t][at] < stop:
+                        rest.append((self.parts[t][at], at, t))
+                cursors = rest
         return found
 
     def overlaps(self, item: int, near: list[str]) -> tuple[float, float]:

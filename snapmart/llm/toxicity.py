@@ -18,7 +18,6 @@ get equal results; extra columns are kept by `without_toxic` and not read otherw
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,7 +38,7 @@ BEGINNINGS = (3, 4, 5, 6, 7)
 #: A kept feature is in this many positive rows, and its G statistic and odds are as large.
 LEAST_ROWS, LEAST_G, LEAST_ODDS = 4, 15.0, 4.0
 FOLDS = 4
-ROUNDS, RATE, DECAY = 200, 0.3, 1e-3
+ROUNDS, RATE, DECAY = 300, 0.3, 1e-5
 LIMIT = 0.5
 #: Words that a worker remembers with their scores.
 REMEMBERED = 500_000
