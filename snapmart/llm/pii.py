@@ -94,8 +94,8 @@ WINDOW, STRIDE = 64, 32
 #: Characters kept on both sides of a mark that could be part of a span.
 MARGIN = 40
 #: Bounds of the training sample: documents read (expected), and windows held on the driver.
-SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 20_000, 3_000
-EPOCHS, RATE, BATCH = 14, 0.01, 64
+SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 20_000, 2_000
+EPOCHS, RATE, BATCH = 10, 0.01, 128
 #: Least mean log-odds of an added span's labels against no label.
 CERTAIN = 4.0
 WINDOWS_AT_ONCE = 512

@@ -1,0 +1,79 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+
+from snapmart.llm.exact_dedup import (
+    exact_duplicates, op7_exact_dedup, rice_decode, rice_encode, stored_parts, suspects, without_exact_duplicates,
+)
+from tests.check_oracle import compare, connect
+from tests.llm.conftest import EDGE, SF, rows
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 17, 5000])
+def test_rice_round_trip(n):
+    rng = np.random.default_rng(n)
+    for top in (3, 1 << 20, 1 << 63):
+        values = np.unique(rng.integers(0, top, n, dtype=np.uint64))
+        assert (rice_decode(*rice_encode(values)) == values).all()
+    edge = np.array([0, (1 << 64) - 1], np.uint64)
+    assert (rice_decode(*rice_encode(edge)) == edge).all()
+
+
+def test_codes_are_near_the_bound():
+    values = np.unique(np.random.default_rng(1).integers(0, 1 << 62, 20_000, dtype=np.uint64))
+    _, _, high, low = rice_encode(values)
+    assert 8 * (len(high) + len(low)) / len(values) < np.log2((1 << 62) / len(values)) + 2.5
+
+
+def brute(docs):
+    groups = {}
+    for k, (i, text, *_) in enumerate(docs):
+        norm = re.sub(r"[\x20\x09-\x0D]", "", text or "")
+        groups.setdefault(norm, []).append((-len(text or ""), i is None, i or 0, k))
+    out = []
+    for norm, members in groups.items():
+        best = min(members)
+        keep = None if best[1] else best[2]
+        for m in members:
+            out.append((None if m[1] else m[2], keep, len(members), hashlib.sha256(norm.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_edge_rows(edge, clashing, empty):
+    for docs in (edge, clashing, edge.repartition(5)):
+        got = exact_duplicates(docs)
+        assert rows(got.drop("kept")) == brute(EDGE)
+        assert got.where("kept").count() == len({b[3] for b in brute(EDGE)})
+    assert exact_duplicates(empty).count() == 0
+
+
+def test_filter_keeps_one_of_each_group_with_all_columns(clashing, empty):
+    kept = without_exact_duplicates(clashing)
+    assert kept.columns == clashing.columns and kept.schema == clashing.schema
+    norms = [re.sub(r"[\x20\x09-\x0D]", "", r.text or "") for r in kept.collect()]
+    assert len(norms) == len(set(norms)) == len({b[3] for b in brute(EDGE)})
+    assert {r.src for r in kept.collect()} == {"own src"}
+    assert without_exact_duplicates(empty).count() == 0
+
+
+def test_only_rows_of_repeated_texts_are_suspects(spark):
+    docs = spark.createDataFrame([(k, f"text {k % 900}") for k in range(1000)], "doc_id bigint, text string").repartition(7)
+    parts = stored_parts(docs, "doc_id", "text")
+    bits = {r.src: np.unpackbits(np.frombuffer(r.suspects, np.uint8), bitorder="little") for r in suspects(parts).collect()}
+    held = [r.own_id for r in parts.collect() if r.src in bits and r.pos < len(bits[r.src]) and bits[r.src][r.pos]]
+    assert sorted(held) == sorted([*range(100), *range(900, 1000)])
+
+
+def test_parts_stay_in_place(spark, edge):
+    """The table's parts are grouped without a shuffle."""
+    parts = stored_parts(edge, "doc_id", "text")
+    plan = parts.groupBy("src").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_query_matches_sql(spark):
+    from snapmart.llm.queries import ORACLE
+
+    assert compare(spark, connect(SF), SF, "op7", op7_exact_dedup, ORACLE["op7_exact_dedup"]) is None

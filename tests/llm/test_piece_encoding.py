@@ -1,0 +1,72 @@
+import hashlib
+import random
+
+import pytest
+
+from snapmart.llm.piece_encoding import PieceTable, default_model, digests, encode_documents, op10_sentencepiece
+from tests.llm.conftest import EDGE, LONG, SF
+
+
+@pytest.fixture(scope="module")
+def library():
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=default_model())
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    with open(default_model(), "rb") as file:
+        return PieceTable(file.read())
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", " ", "  ", "a", "a  b ", "▁", " ▁ ", "x\n\ny\t", "\n", "ﬁ é é", "\x00a", "日本 𝒳", "<s> <unk> <0x41>", "￾", "�", "　\r\n", "a" * 500, LONG, "𝒳" * 300],
+)
+def test_same_as_the_library(pieces, library, text):
+    ids = library.encode(text)
+    assert pieces.encode(text) == ids and pieces.decode(ids) == library.decode(ids)
+
+
+def test_random_texts(pieces, library):
+    rng = random.Random(2)
+    letters = "aabbccdeethin  ▁▁\n\t0123.,éß日本𝒳\x00​　\r<>s/unk"
+    for _ in range(5000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 50)))
+        ids = library.encode(text)
+        assert pieces.encode(text) == ids and pieces.decode(ids) == library.decode(ids)
+
+
+def test_decode_of_any_ids(pieces, library):
+    rng = random.Random(3)
+    for _ in range(300):
+        ids = [rng.choice([rng.randrange(3, 259), rng.randrange(259, 32_000)]) for _ in range(rng.randint(0, 20))]
+        assert pieces.decode(ids) == library.decode(ids), ids
+
+
+def test_forgetting_changes_nothing(pieces, library, monkeypatch):
+    from snapmart.llm import piece_encoding
+
+    monkeypatch.setattr(piece_encoding, "REMEMBERED", 3)
+    monkeypatch.setattr(piece_encoding, "REMEMBERED_PAIRS", 3)
+    text = "the quick brown fox jumps over the lazy dog and the other foxes " * 3
+    assert pieces.encode(text) == library.encode(text)
+
+
+def test_edge_rows(edge, clashing, empty, library):
+    for docs in (edge, clashing):
+        got = sorted(((r.doc_id, tuple(r.ids), r.decoded) for r in encode_documents(docs, default_model()).collect()), key=repr)
+        assert got == sorted(((i, tuple(library.encode(t or "")), library.decode(library.encode(t or ""))) for i, t, *_ in EDGE), key=repr)
+    assert digests(encode_documents(empty, default_model())).count() == 0
+
+
+def test_query(spark, library):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = op10_sentencepiece(spark, SF).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        ids = library.encode(docs[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()

@@ -1,0 +1,47 @@
+import re
+
+import corpus_pipeline
+from snapmart.llm.decontamination import contaminated
+from snapmart.llm.piece_encoding import default_model
+from snapmart.llm.toxicity import toxicity
+from tests.llm.conftest import SF, rows
+from tests.llm.test_simhash import classes, slow_print
+
+
+def test_stages_match_brute_force(spark):
+    """Each stage on what its predecessor kept, against plain Python."""
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=default_model())
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    toxic = {r.doc_id for r in toxicity(docs, labels).where("toxic").collect()}
+    left = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id not in toxic]
+    best = {}
+    for i, t in left:
+        norm = re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        best[norm] = min(best.get(norm, (1, 0)), (-len(t or ""), i))
+    left = sorted((i, t) for i, t in left if best[re.sub(r"[\x20\x09-\x0D]", "", t or "")][1] == i)
+    firsts = classes([slow_print(t) for _, t in left], 4)
+    left = [x for k, x in enumerate(left) if firsts[k] == k]
+    leaked = {r.doc_id for r in contaminated(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
+    left = [x for x in left if x[0] not in leaked]
+    got = {r.doc_id: r.n_tokens for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == {i: len(library.encode(t or "")) for i, t in left}
+    assert toxic and leaked and len(got) < docs.count()
+
+
+def test_stages_keep_columns_and_stand_odd_rows(spark, clashing, empty):
+    for docs in (clashing, empty):
+        now = docs
+        for name, stage in corpus_pipeline.STAGES:
+            after = stage(spark, now, SF)
+            if name != "tokenization":
+                assert after.columns == docs.columns and after.count() <= now.count(), name
+                now = after
+        assert after.count() == now.count()
+    assert rows(after) == []
+
+
+def test_names():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "simhash_dedup", "decontamination", "tokenization"]
