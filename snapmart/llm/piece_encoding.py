@@ -83,7 +83,9 @@ class PieceTable:
         self.lengths = [len(p) for p in self.pieces]
         if self.control and 0 not in self.control:
             raise ValueError("id 0 is a piece: it is meant to be the unknown token")
-        self.pairs: dict[int, bool] = {}
+        #: For each piece, the tokens that it was tested after.
+        self.follows: list[dict[int, bool]] = [{} for _ in self.pieces]
+        self.n_pairs = 0
         self.known: dict[str, tuple[int, ...]] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -101,13 +103,16 @@ class PieceTable:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether `right` may follow `left` (codes of tokens; 0 stands for the start of the text)."""
-        key = left << 22 | right
-        known = self.pairs.get(key)
+        known = self.follows[right].get(left)
         if known is None:
-            if len(self.pairs) >= REMEMBERED_PAIRS:
-                self.pairs.clear()
+            self.n_pairs += 1
+            if self.n_pairs > REMEMBERED_PAIRS:
+                self.n_pairs = 1
+                for held in self.follows:
+                    held.clear()
             before, after = self.text_of(left), self.text_of(right)
-            known = self.pairs[key] = self.merged(before + after) == ([before, after] if before else [after])
+            known = self.merged(before + after) == ([before, after] if before else [after])
+            self.follows[right][left] = known
         return known
 
     def text_of(self, code: int) -> str:
@@ -116,25 +121,28 @@ class PieceTable:
 
     def part_ids(self, part: str) -> tuple[int, ...]:
         """Ids of one part: fill the table of last tokens, then walk it backwards."""
-        last: list[int] = [0]
-        lengths, pairs = self.lengths, self.pairs
+        lengths, follows, chars = self.lengths, self.follows, self.chars
+        last = [0] * (len(part) + 1)
         for end, i in self.automaton.iter(part):  # by end, the longest piece first
-            if end + 1 < len(last):
+            end += 1
+            if last[end]:
                 continue
-            while len(last) <= end:
-                last.append(self.chars + ord(part[len(last) - 1]))
-            left = last[end + 1 - lengths[i]]
-            known = pairs.get(left << 22 | i)
+            start = end - lengths[i]
+            left = last[start]
+            if not left and start:
+                left = last[start] = chars + ord(part[start - 1])
+            known = follows[i].get(left)
             if known or known is None and self.compatible(left, i):
-                last.append(i)
-        while len(last) <= len(part):
-            last.append(self.chars + ord(part[len(last) - 1]))
+                last[end] = i
+        for end in range(1, len(last)):
+            if not last[end]:
+                last[end] = chars + ord(part[end - 1])
         ids: list[int] = []
         end = len(part)
         while end:
             code = last[end]
-            if code >= self.chars:
-                ids.extend(self.byte[b] for b in reversed(chr(code - self.chars).encode()))
+            if code >= chars:
+                ids.extend(self.byte[b] for b in reversed(chr(code - chars).encode()))
                 end -= 1
             else:
                 ids.append(code)
