@@ -1,12 +1,13 @@
 """Equi-joins that stay balanced when a few keys hold a large share of the rows.
 
-A plain shuffle join sends all rows of a key to one task. The keys heavy enough to
-matter are found first with a frequency sketch over the key columns alone. Without
-any, the join is the ordinary one. Otherwise each heavy key gets a small grid of
-cells: left rows are dealt over its rows of the grid and copied along the columns,
-right rows the other way round, and the join runs on key and cell. Every pair of
-matching rows meets in exactly one cell, so the result is complete for any choice
-of heavy keys; the sketch decides speed only.
+A plain shuffle join sends all rows of a key to one task, and that task makes all pairs
+of the key. Keys are heavy if either side has more rows of them than a cell may hold, or
+if both sides together make more pairs than that. They are found exactly: rows are counted
+by hash bucket (partial counts before the shuffle), and only in buckets that could hold a
+heavy key are keys counted. Without any, the join is the ordinary one. Otherwise each heavy
+key gets a grid of cells: left rows are dealt over its rows of the grid and copied along
+the columns, right rows the other way round, and the join runs on key and cell. Every pair
+of matching rows meets in exactly one cell, so the result is complete for any sizes.
 
 Rows are dealt by their position in the scan, which a recomputed task reproduces.
 Inputs should therefore come straight from a table or a checkpoint, not from
@@ -15,33 +16,33 @@ behind a shuffle.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy above this many rows, unless that is under 1/SHARE of its table.
+from ..plans.workdir import scratch_path
+
+# Rows of a key on one side, and pairs of a key, that one cell should take.
 ROWS_PER_CELL = 1_000_000
-SHARE = 2_000
-# Sketch entries per task; every key above 1/SHARE of the rows is certain to show.
-SKETCH_ITEMS = 16_384
-# Sketches are merged in this many groups first, so no single task merges them all.
-SKETCH_GROUPS = 1_024
+PAIRS_PER_ROW = 100
 
 CELL = ("cell_left", "cell_right")
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Heavy keys and, for each frame examined, their exact row counts."""
+    """Heavy keys with their rows in each frame (n0, n1) and the grid of each, as a written table."""
 
     keys: tuple[str, ...]
-    rows: list[tuple]  # (key values..., count in frame 0, count in frame 1, ...)
-    rows_per_cell: int
+    sizes: DataFrame | None = None
+    deals_left: bool = False
+    deals_right: bool = False
 
     def __bool__(self) -> bool:
-        return bool(self.rows)
+        return self.sizes is not None
 
 
 def _stack(frames: list[DataFrame]) -> DataFrame:
@@ -51,42 +52,55 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 def find_heavy_keys(
     frames: list[DataFrame], keys: tuple[str, ...], *, rows_per_cell: int = ROWS_PER_CELL
 ) -> HeavyKeys:
-    """Keys holding more rows than one task should take, over one or more frames.
+    """Keys with more rows, or more pairs between two frames, than one task should take.
 
-    Brings at most ``SHARE`` keys per frame to the driver.
+    Row totals and the largest grid come to the driver, no keys do.
     """
-    tagged = [f.select(*keys, F.lit(i).alias("frame")) for i, f in enumerate(frames)]
-    sizes = {r.frame: r.n for r in _stack(tagged).groupBy("frame").agg(F.count("*").alias("n")).collect()}
-    large = [i for i, n in sizes.items() if n > rows_per_cell]
-    if not large:
-        return HeavyKeys(tuple(keys), [], rows_per_cell)
-
-    hashed = F.xxhash64(*keys)
-    partial = (
-        _stack([tagged[i] for i in large])
-        .select("frame", hashed.alias("h"), (F.spark_partition_id() % SKETCH_GROUPS).alias("g"))
-        .groupBy("frame", "g")
-        .agg(F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"))
-    )
-    frequent = (
-        partial.groupBy("frame")
-        .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"))
-        .select("frame", F.explode(F.expr(f"approx_top_k_estimate(s, {SHARE})")).alias("t"))
-        .select("frame", "t.item", "t.count")
-        .collect()
-    )
-    hashes = {
-        r["item"] for r in frequent if r["count"] > max(rows_per_cell, sizes[r.frame] // SHARE)
-    }
-    if not hashes:
-        return HeavyKeys(tuple(keys), [], rows_per_cell)
-
-    exact = (
-        _stack([f.filter(hashed.isin(list(hashes))) for f in tagged])
-        .groupBy(*keys)
-        .agg(*[F.count_if(F.col("frame") == i).alias(f"n{i}") for i in range(len(frames))])
+    pairs = rows_per_cell * PAIRS_PER_ROW
+    names = [f"n{i}" for i in range(len(frames))]
+    tagged = _stack([f.select(*keys, F.lit(i).alias("frame")) for i, f in enumerate(frames)])
+    counts = [F.count_if(F.col("frame") == i).alias(n) for i, n in enumerate(names)]
+
+    def heavy(row: dict) -> Column:
+        """Also true for no rows of one side: nulls and left rows without a match are dealt too."""
+        many = reduce(lambda a, b: a | b, [row[n] > rows_per_cell for n in names])
+        return many | (row["n0"] * row["n1"] > pairs) if len(frames) == 2 else many
+
+    totals = tagged.agg(*counts).first()
+    most = math.prod(totals) if len(frames) == 2 else 0
+    if max(totals) <= rows_per_cell and most <= pairs:
+        return HeavyKeys(tuple(keys))
+    # So many that a bucket of ordinary keys is far below both limits.
+    fair = min(rows_per_cell, math.isqrt(pairs)) if len(frames) == 2 else rows_per_cell
+    buckets = 1 << (8 * sum(totals) // fair + 1).bit_length()
+    placed = tagged.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    full = placed.groupBy("bucket").agg(*counts).filter(heavy({n: F.col(n) for n in names})).select("bucket")
+    exact = placed.join(full, "bucket", "left_semi").groupBy(*keys).agg(*counts)
+    found = exact.filter(heavy({n: F.col(n) for n in names}))
+    if len(frames) == 1:
+        found = found.withColumn("n1", F.lit(0).cast("bigint"))
+    # A null key matches nothing: its left rows are dealt, never copied.
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    rows_left, rows_right = F.col("n0"), F.when(null, 0).otherwise(F.col("n1"))
+    left = F.greatest(F.ceil(rows_left / rows_per_cell), F.lit(1))
+    right = F.greatest(F.ceil(rows_right / rows_per_cell), F.lit(1))
+    sized = found.withColumns({"rows_left": left, "rows_right": right})
+    over = F.greatest(F.ceil(rows_left * rows_right / (F.col("rows_left") * F.col("rows_right") * pairs)), F.lit(1))
+    sized = sized.withColumn("over", over).withColumn("side", F.ceil(F.sqrt("over")))
+    sized = sized.select(
+        *keys,
+        "n0",
+        "n1",
+        (F.col("rows_left") * F.col("side")).cast("bigint").alias("n_left"),
+        (F.col("rows_right") * F.ceil(F.col("over") / F.col("side"))).cast("bigint").alias("n_right"),
     )
-    return HeavyKeys(tuple(keys), [tuple(r) for r in exact.collect()], rows_per_cell)
+    path = scratch_path(tagged.sparkSession, "heavy-keys")
+    sized.write.parquet(path)
+    sizes = tagged.sparkSession.read.schema(sized.schema).parquet(path)
+    grid = sizes.agg(F.count("*").alias("n"), F.max("n_left").alias("left"), F.max("n_right").alias("right")).first()
+    if not grid.n:
+        return HeavyKeys(tuple(keys))
+    return HeavyKeys(tuple(keys), sizes, grid.left > 1, grid.right > 1)
 
 
 class KeyGrid:
@@ -96,24 +110,12 @@ class KeyGrid:
     there are no right cells, and without heavy keys there is no grid at all.
     """
 
-    def __init__(self, left: DataFrame, heavy: HeavyKeys):
+    def __init__(self, heavy: HeavyKeys):
         self.keys = list(heavy.keys)
-        size = heavy.rows_per_cell
-        sized = []
-        for *key, n_left, n_right in heavy.rows:
-            # A null key matches nothing: its left rows are dealt, never copied.
-            copies = 1 if None in key else max(1, -(-n_right // size))
-            sized.append((*key, max(1, -(-n_left // size)), copies))
-        self.deals_left = any(row[-2] > 1 for row in sized)
-        self.deals_right = any(row[-1] > 1 for row in sized)
+        self.deals_left, self.deals_right = heavy.deals_left, heavy.deals_right
         used = (self.deals_left, self.deals_right)
         self.on = self.keys + [cell for cell, needed in zip(CELL, used) if needed]
-        if self.active:
-            types = dict(left.dtypes)
-            schema = ", ".join(f"`{k}` {types[k]}" for k in self.keys)
-            self._sizes = left.sparkSession.createDataFrame(
-                sized, f"{schema}, n_left bigint, n_right bigint"
-            )
+        self._sizes = heavy.sizes.drop("n0", "n1") if heavy else None
 
     @property
     def active(self) -> bool:
@@ -122,9 +124,9 @@ class KeyGrid:
     def _place(self, df: DataFrame, left_cell: Column, right_cell: Column) -> DataFrame:
         """Add the cells of each row, from the grid size of its key.
 
-        The sizes are broadcast: at most ``SHARE`` rows per frame examined.
+        Spark broadcasts the sizes where they are small, and splits skewed rows otherwise.
         """
-        sizes = F.broadcast(self._sizes.withColumnsRenamed({k: f"_{k}" for k in self.keys}))
+        sizes = self._sizes.withColumnsRenamed({k: f"_{k}" for k in self.keys})
         same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(sizes[f"_{k}"]) for k in self.keys])
         placed = (
             df.withColumn("_at", F.monotonically_increasing_id())
@@ -176,21 +178,29 @@ class KeyGrid:
         return df.drop(*CELL) if self.active else df
 
 
+def balanced_join(
+    left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str, *, rows_per_cell: int = ROWS_PER_CELL
+) -> DataFrame:
+    """Inner or left join on ``keys`` whose heavy keys are dealt over cells."""
+    grid = KeyGrid(find_heavy_keys([left, right], keys, rows_per_cell=rows_per_cell))
+    return grid.done(grid.join(grid.left(left), grid.right(right), how))
+
+
 def rows_with_repeated_key(
     df: DataFrame, key: str, *, rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:
     """Rows whose key occurs more than once; rows without a key are left out.
 
-    A heavy key is known to repeat, so its rows are kept without being shuffled;
+    A heavy key is known to repeat, so its rows only meet the table of heavy keys;
     the rest goes through a semi-join with the repeated keys.
     """
     known = df.filter(F.col(key).isNotNull())
     heavy = find_heavy_keys([known], (key,), rows_per_cell=rows_per_cell)
     if not heavy:
         return known.join(repeated_keys(known, key), key, "left_semi")
-    is_heavy = F.col(key).isin([value for value, count in heavy.rows if count > 1])
-    rest = known.filter(~is_heavy)
-    return known.filter(is_heavy).unionByName(
+    sure = heavy.sizes.filter("n0 > 1").select(key)
+    rest = known.join(sure, key, "left_anti")
+    return known.join(sure, key, "left_semi").unionByName(
         rest.join(repeated_keys(rest, key), key, "left_semi")
     )
 

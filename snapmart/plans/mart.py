@@ -10,22 +10,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..feeds import ATTRIBUTES, CLICKSTREAM, FEEDS, FINANCIALS, LOANS, SNAPSHOT, Feed
-from ..operators.features import collect_vocabulary, feature_table, matched_feature_table
+from ..operators.features import (
+    collect_vocabulary,
+    feature_schema,
+    feature_table,
+    fill_flags,
+    matched_feature_table,
+)
 from ..operators.labels import label_table
 from ..operators.silver import conform, with_arrears
 from ..sources.files import scan_csv, scan_feed_files, slice_snapshots
 from ..sources.tables import (
+    ALL,
     NoSnapshots,
-    common_snapshots,
-    in_snapshots,
+    drop_snapshots,
+    exists,
     optional_snapshots,
+    partition_folders,
     read_snapshots,
+    stored_dates,
     write_snapshots,
 )
 
 LABELS = "label_store"
 FEATURES = "feature_store"
 MATCHED_FEATURES = "feature_store_matched"
+LOAN_TYPES = "loan_types"
 
 
 def _together(build, *arguments) -> list:
@@ -60,8 +70,9 @@ class Slices(Mapping):
 class Mart:
     """Bronze, silver and gold tables under one root.
 
-    Every build replaces exactly the snapshots it computes, so a run that was cut
-    short is repaired by running it again. Layers meet in tables: a gold build that
+    Every build replaces the snapshots that it covers, also those that come out empty,
+    and keeps all others, so a run that was cut short is repaired by running it again.
+    Layers meet in tables: a gold build that
     loses an executor recomputes from silver files, not from raw text.
     """
 
@@ -80,7 +91,7 @@ class Mart:
         if isinstance(raw, str):
             raw = scan_csv(self.spark, raw)
         rows = slice_snapshots(raw, dates)
-        return write_snapshots(rows, self.path("bronze", feed.table), fmt=self.bronze_format)
+        return write_snapshots(rows, self.path("bronze", feed.table), fmt=self.bronze_format, dates=dates)
 
     def backfill(
         self, feeds: list[Feed], sources: list[DataFrame | str], dates: list[dt.date]
@@ -99,11 +110,24 @@ class Mart:
     # Silver: typed and cleaned.
 
     def build_silver(self, feed: Feed, raw: DataFrame | None = None, dates: list | None = None) -> int:
-        """Clean a feed from its bronze table, or from the given raw rows."""
-        rows = conform(self.bronze(feed, dates) if raw is None else raw, feed)
+        """Clean a feed from its bronze table, or from the given raw rows.
+
+        A build from bronze covers the given dates, or all; raw rows without dates cover
+        the snapshots that they hold.
+        """
+        path = self.path("silver", feed.table)
+        covered = dates if dates is not None or raw is not None else ALL
+        try:
+            rows = conform(self.bronze(feed, dates) if raw is None else raw, feed)
+        except NoSnapshots:
+            if dates is None:
+                raise
+            drop_snapshots(self.spark, path, dates)
+            return 0
         if feed is LOANS:
             rows = with_arrears(rows)
-        return write_snapshots(rows, self.path("silver", feed.table))
+        # Bronze is split by snapshot already: its files need no second shuffle.
+        return write_snapshots(rows, path, dates=covered, rebalance=raw is not None)
 
     def build_silver_from_files(self, feed: Feed, folder: str) -> int:
         """Clean a folder of monthly files dated by their names."""
@@ -120,34 +144,74 @@ class Mart:
     # Gold: labels and features.
 
     def build_labels(self, dpd: int = 30, mob: int = 6, dates: list | None = None) -> int:
+        path = self.path("gold", LABELS)
+        if self._without_source(LOANS, path, dates):
+            return 0
         rows = label_table(self.silver(LOANS, dates), dpd, mob)
-        return write_snapshots(rows, self.path("gold", LABELS))
+        return write_snapshots(rows, path, dates=ALL if dates is None else dates, rebalance=False)
+
+    def _without_source(self, feed: Feed, path: str, dates: list | None) -> bool:
+        """True if a silver table has no rows at all: then the covered dates of ``path`` are removed."""
+        empty = dates is not None and not partition_folders(self.spark, self.path("silver", feed.table))
+        if empty:
+            drop_snapshots(self.spark, path, dates)
+        return empty
+
+    def vocabulary(self) -> list[str]:
+        """Loan types of all feature tables built so far; empty before the first."""
+        path = self.path("gold", LOAN_TYPES)
+        if not exists(self.spark, path):
+            return []
+        return sorted({row.loan for row in self.spark.read.schema("loan string").parquet(path).collect()})
 
     def build_features(self, dates: list | None = None) -> int:
         """All financial rows; attributes and clicks may be absent.
 
-        The vocabulary spans every snapshot, so a run over some dates writes the same
-        columns as a run over all.
+        The vocabulary spans every snapshot and only grows. A month keeps the flags it
+        was built with; ``gold`` reads those of later types as 0.
         """
+        path = self.path("gold", FEATURES)
+        if self._without_source(FINANCIALS, path, dates):
+            return 0
+        known = self.vocabulary()
+        vocabulary = sorted({*known, *collect_vocabulary(self.silver(FINANCIALS))})
+        new = [(loan,) for loan in vocabulary if loan not in known]
+        if new:
+            added = self.spark.createDataFrame(new, "loan string").coalesce(1)
+            added.write.mode("append").parquet(self.path("gold", LOAN_TYPES))
         rows = feature_table(
             self.silver(FINANCIALS, dates),
             self.silver_or_empty(ATTRIBUTES, dates),
             self.silver_or_empty(CLICKSTREAM, dates),
-            vocabulary=collect_vocabulary(self.silver(FINANCIALS)),
+            vocabulary=vocabulary,
         )
-        return write_snapshots(rows, self.path("gold", FEATURES))
+        return write_snapshots(rows, path, dates=ALL if dates is None else dates)
 
     def build_matched_features(self) -> int:
-        """Customers in attributes and financials, for snapshots all three tables have."""
-        tables = [self.silver(f) for f in (ATTRIBUTES, FINANCIALS, CLICKSTREAM)]
-        dates = common_snapshots(*tables)
-        rows = matched_feature_table(*[in_snapshots(t, dates) for t in tables])
-        return write_snapshots(rows, self.path("gold", MATCHED_FEATURES))
+        """Customers in attributes and financials, for snapshots all three tables have.
+
+        The common dates come from folder names and prune the scans of all three.
+        """
+        feeds = (ATTRIBUTES, FINANCIALS, CLICKSTREAM)
+        dates = self.common_dates(*feeds)
+        rows = matched_feature_table(*[self.silver(f, dates) for f in feeds])
+        return write_snapshots(rows, self.path("gold", MATCHED_FEATURES), dates=ALL)
+
+    def common_dates(self, *feeds: Feed) -> list[dt.date]:
+        """Snapshots that every silver table has."""
+        held = [stored_dates(self.spark, self.path("silver", f.table)) for f in feeds]
+        return sorted(set.intersection(*map(set, held)))
 
     def gold(self, table: str, dates: list | None = None, *, merge_schema: bool = False) -> DataFrame:
-        return read_snapshots(
-            self.spark, self.path("gold", table), dates=dates, merge_schema=merge_schema
+        vocabulary = self.vocabulary() if table == FEATURES else []
+        rows = read_snapshots(
+            self.spark,
+            self.path("gold", table),
+            dates=dates,
+            schema=feature_schema(vocabulary) if vocabulary else None,
+            merge_schema=merge_schema,
         )
+        return fill_flags(rows, vocabulary) if vocabulary else rows
 
     def run(
         self, sources: dict[str, DataFrame | str], dates: list[dt.date], *, dpd: int = 30, mob: int = 6
@@ -156,8 +220,7 @@ class Mart:
         feeds = [FEEDS[name] for name in sources]
 
         def clean(feed: Feed, source: DataFrame | str) -> tuple[int, int]:
-            raw = self.ingest(feed, source, dates)
-            return raw, self.build_silver(feed, dates=dates) if raw else 0
+            return self.ingest(feed, source, dates), self.build_silver(feed, dates=dates)
 
         rows = {}
         for feed, (raw, cleaned) in zip(feeds, _together(clean, feeds, sources.values())):

@@ -6,22 +6,64 @@ only those it needs.
 
 from __future__ import annotations
 
-from ..feeds import (
-    AGE_RANGE,
-    BEHAVIOUR_PATTERN,
-    CLICK_FEATURES,
-    FINANCIAL_TYPES,
-    INTEREST_RANGE,
-    LOAN_TYPES,
-    MONEY_COLUMNS,
-    MONEY_KEEP,
-    OCCUPATION_PATTERN,
-    SPECIAL_CHARACTER,
-    SSN_KEEP,
-    SSN_PATTERN,
-    UNSIGNED_MONEY_KEEP,
+# Written out here, so that a wrong rule in the code cannot be wrong in the SQL as well.
+AGE_RANGE = (15, 100)
+INTEREST_RANGE = (0, 100)
+SSN_KEEP = "0-9-"
+SSN_PATTERN = "^\\d{3}-\\d{2}-\\d{4}$"
+OCCUPATION_PATTERN = "^[A-Za-z ]+$"
+BEHAVIOUR_PATTERN = "^[A-Za-z0-9 _]+$"
+SPECIAL_CHARACTER = "[^A-Za-z0-9 ]"
+MONEY_KEEP = "0-9.-"
+UNSIGNED_MONEY_KEEP = "0-9."
+LOAN_TYPES = {
+    "loan_id": "string",
+    "Customer_ID": "string",
+    "loan_start_date": "date",
+    "tenure": "int",
+    "installment_num": "int",
+    "loan_amt": "float",
+    "due_amt": "float",
+    "paid_amt": "float",
+    "overdue_amt": "float",
+    "balance": "float",
+    "snapshot_date": "date",
+}
+MONEY_COLUMNS = (
+    "Annual_Income",
+    "Monthly_Inhand_Salary",
+    "Changed_Credit_Limit",
+    "Outstanding_Debt",
+    "Credit_Utilization_Ratio",
+    "Total_EMI_per_month",
+    "Amount_invested_monthly",
+    "Monthly_Balance",
 )
-
+FINANCIAL_TYPES = {
+    "Customer_ID": "string",
+    "Annual_Income": "float",
+    "Monthly_Inhand_Salary": "float",
+    "Num_Bank_Accounts": "int",
+    "Num_Credit_Card": "int",
+    "Interest_Rate": "int",
+    "Num_of_Loan": "int",
+    "Type_of_Loan": "string",
+    "Delay_from_due_date": "int",
+    "Num_of_Delayed_Payment": "int",
+    "Changed_Credit_Limit": "float",
+    "Num_Credit_Inquiries": "int",
+    "Credit_Mix": "string",
+    "Outstanding_Debt": "float",
+    "Credit_Utilization_Ratio": "float",
+    "Credit_History_Age": "string",
+    "Payment_of_Min_Amount": "string",
+    "Total_EMI_per_month": "float",
+    "Amount_invested_monthly": "float",
+    "Payment_Behaviour": "string",
+    "Monthly_Balance": "float",
+    "snapshot_date": "date",
+}
+CLICK_FEATURES = tuple(f"fe_{i}" for i in range(1, 21))
 ATTRIBUTE_COLUMNS = ("Customer_ID", "Name", "Age", "SSN", "Occupation", "snapshot_date")
 ARREARS = ("mob", "installments_missed", "first_missed_date", "dpd")
 FINANCIAL_COLUMNS = tuple(FINANCIAL_TYPES)
@@ -351,16 +393,13 @@ def _count_if(condition: str, name: str) -> str:
     return f"count(*) FILTER (WHERE {condition}) AS {name}"
 
 
-def _domain_counts(sources: dict[str, str], date: str = "snapshot_date, ", where: str = "") -> str:
+def _domain_counts(sources: dict[str, str], date: str = "snapshot_date, ") -> str:
     return " UNION ALL ".join(
-        f"SELECT '{d}' AS domain, {date}count(*) AS n FROM {t} {where} GROUP BY ALL"
+        f"SELECT '{d}' AS domain, {date}count(*) AS n FROM {t} GROUP BY ALL"
         for d, t in sources.items()
     )
 
 
-IN_CALENDAR = "CAST(snapshot_date AS DATE) BETWEEN DATE '1990-01-01' AND DATE '2030-12-01'"
-
-
 AGE_OUTSIDE = f"Age < {AGE_RANGE[0]} OR Age > {AGE_RANGE[1]}"
 RATE_OUTSIDE = f"Interest_Rate < {INTEREST_RANGE[0]} OR Interest_Rate > {INTEREST_RANGE[1]}"
 
@@ -371,12 +410,14 @@ _SQL = {
     + " WHERE snapshot_date = (SELECT max(snapshot_date) FROM financials) ORDER BY Customer_ID LIMIT 5",
     "discover_snapshots": "SELECT DISTINCT snapshot_date FROM loans",
     "latest_snapshot": f"{LOAN_SILVER} WHERE snapshot_date = (SELECT max(snapshot_date) FROM loans)",
-    "date_from_filename": """
-SELECT o_orderkey, file_name, CAST(try_strptime(
-  regexp_extract(file_name, '(\\d{4}_\\d{2}_\\d{2})', 1), '%Y_%m_%d') AS DATE) AS snapshot_date
-FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN 'attributes.csv'
-  ELSE 'bronze_feature_attributes_' || strftime(date_trunc('month', o_orderdate), '%Y_%m_%d') || '.csv'
-  END AS file_name FROM orders)""",
+    "date_from_filename": "SELECT 'bronze_features_attributes_' || replace(snapshot_date, '-', '_') || '.csv' "
+    "AS source_file, count(*) AS n, CAST(snapshot_date AS DATE) AS snapshot_date FROM raw_attributes GROUP BY ALL",
+    "silver_from_files": "SELECT Customer_ID, CASE WHEN snapshot_date = (SELECT max(snapshot_date) FROM attributes) "
+    "THEN NULL ELSE Name END AS Name, Age, SSN, Occupation, snapshot_date FROM attributes",
+    "typed_csv_scan": "SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, "
+    "CAST(c_acctbal AS DOUBLE) AS c_acctbal FROM customer",
+    "tolerant_csv_scan": "SELECT Customer_ID, TRY_CAST(Age AS INTEGER) AS Age, "
+    "CASE WHEN TRY_CAST(Age AS INTEGER) IS NULL THEN Customer_ID || ',' || Age END AS corrupt FROM raw_attributes",
     "multi_file_scan": "SELECT Customer_ID, Annual_Income, Type_of_Loan, Payment_Behaviour, "
     "TRUE AS from_csv FROM raw_financials",
     "month_calendar": """
@@ -395,7 +436,6 @@ LEFT JOIN orders ON CAST(date_trunc('month', o_orderdate) AS DATE) = m.snapshot_
             "clickstream": "raw_clicks",
         },
         date="CAST(snapshot_date AS DATE) AS snapshot_date, ",
-        where=f"WHERE {IN_CALENDAR}",
     ),
     "mart_build": _domain_counts(
         {
@@ -406,10 +446,27 @@ LEFT JOIN orders ON CAST(date_trunc('month', o_orderdate) AS DATE) = m.snapshot_
             "gold/feature_store": "features",
         },
         date="",
-        where=f"WHERE {IN_CALENDAR}",
     )
-    + " UNION ALL SELECT 'gold/label_store' AS domain, count(*) AS n FROM loans "
-    f"WHERE mob = 6 AND {IN_CALENDAR}",
+    + " UNION ALL SELECT 'gold/label_store' AS domain, count(*) AS n FROM loans WHERE mob = 6",
+    "label_rebuild": """SELECT loan_id, Customer_ID, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label,
+  '30dpd_7mob' AS label_def, snapshot_date FROM loans WHERE mob = 7""",
+    "feed_redelivery": _domain_counts(
+        {
+            f"{layer}": "(SELECT * FROM financials WHERE snapshot_date <> DATE '2024-02-01') t"
+            for layer in ("silver/financials", "gold/feature_store")
+        },
+        date="",
+    ),
+    "gold_incremental": f"SELECT Customer_ID, snapshot_date, {flags()}, "
+    f"coalesce({history('Credit_History_Age')}, 0) AS Credit_History_Months FROM financials "
+    "WHERE NOT coalesce(Type_of_Loan LIKE '%Student Loan%' AND snapshot_date <> DATE '2024-02-01', FALSE)",
+    "matched_build": _matched("WHERE f.snapshot_date IN (SELECT snapshot_date FROM common)"),
+    "skewed_join": """
+SELECT user, band, count(*) AS n, CAST(sum(floor(a) * floor(b)) AS BIGINT) AS s FROM
+  (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user, CAST(hour(ts) % 2 AS INTEGER) AS band,
+    value AS a FROM events) x
+JOIN (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user, CAST(hour(ts) % 2 AS INTEGER) AS band,
+    value AS b FROM events WHERE event_id % 40 = 0) y USING (user, band) GROUP BY ALL""",
     "loan_cast": f"SELECT {doubles(LOAN_TYPES, LOAN_TYPES)} FROM typed_loans",
     "attributes_cast": f"SELECT Customer_ID, Name, {whole('Age')} AS Age, SSN, Occupation, "
     f"{iso('snapshot_date')} AS snapshot_date FROM raw_attributes",
@@ -537,9 +594,7 @@ LEFT JOIN orders ON CAST(date_trunc('month', o_orderdate) AS DATE) = m.snapshot_
     "distinct_values": f"SELECT DISTINCT Interest_Rate FROM draft_financials WHERE {RATE_OUTSIDE}",
     "distinct_ages_sorted": "SELECT DISTINCT Age FROM attributes ORDER BY Age",
     "union_feeds": ATTRIBUTES.replace("FROM attributes", "FROM draft_attributes")
-    + " WHERE snapshot_date = DATE '2024-01-01' UNION ALL "
-    + ATTRIBUTES.replace("FROM attributes", "FROM draft_attributes")
-    + " WHERE snapshot_date = DATE '2024-02-01'",
+    + " WHERE snapshot_date IS NOT NULL",
 }
 
 ORACLE = {name: statement(body) for name, body in _SQL.items()}

@@ -26,12 +26,12 @@ from ..functions.dates import file_snapshot, month_list, month_starts
 from ..functions.numbers import outside, whole_number, zero_outside
 from ..functions.text import keep_only, null_unless
 from ..operators import features, labels, quality
-from ..operators.joins import rows_with_repeated_key
+from ..operators.joins import balanced_join, rows_with_repeated_key
 from ..operators.silver import conform, with_arrears
 from ..sources import tables
-from ..sources.files import scan_csv, slice_snapshots, with_source_file
+from ..sources.files import CORRUPT, scan_csv, scan_feed_files, slice_snapshots, with_source_file
 from . import derived
-from .mart import FEATURES, LABELS, Mart
+from .mart import FEATURES, LABELS, MATCHED_FEATURES, Mart
 from .workdir import scratch_path
 
 # Parameters of the registered queries.
@@ -39,8 +39,9 @@ DPD, MOB = 30, 6
 LAST_INSTALLMENT = 7
 STARTED_BEFORE = "2000-01-01"
 ONE_SNAPSHOT = dt.date(1998, 6, 1)
-CLICK_MONTH = dt.date(2024, 1, 1)
-FIRST_MONTH, LAST_MONTH = "1990-01-01", "2030-12-01"
+LATE_MOB = 7
+LOST_MONTH = dt.date(2024, 2, 1)
+LATE_LOAN = "Student Loan"
 
 QUERIES: dict = {}
 
@@ -76,18 +77,20 @@ def clicks(spark, sf_dir):
     return conform(derived.clickstream(spark, sf_dir), CLICKSTREAM)
 
 
-_staged: dict = {}
+def staged_loans(spark: SparkSession, sf_dir: str, *, gold: bool = False) -> Mart:
+    """A new mart holding the loan table, and its labels on request."""
+    mart = Mart(spark, scratch_path(spark, "staged"))
+    mart.build_silver(LOANS, derived.loans(spark, sf_dir))
+    if gold:
+        mart.build_labels(DPD, MOB)
+    return mart
 
 
-def staged_loans(spark: SparkSession, sf_dir: str) -> Mart:
-    """A mart holding the loan table and its labels, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _staged:
-        mart = Mart(spark, scratch_path(spark, "staged"))
-        mart.build_silver(LOANS, derived.loans(spark, sf_dir))
-        mart.build_labels(DPD, MOB)
-        _staged[key] = mart
-    return _staged[key]
+def months_of(*raws: DataFrame) -> list[dt.date]:
+    """All months from the first to the last snapshot of the raw feeds."""
+    found = tables.union_frames(*[r.select(F.col(SNAPSHOT).cast("date").alias(SNAPSHOT)) for r in raws])
+    bounds = found.agg(F.min(SNAPSHOT).alias("start"), F.max(SNAPSHOT).alias("end")).first()
+    return month_list(found.sparkSession, str(bounds.start), str(bounds.end)) if bounds.start else []
 
 
 # Scans --------------------------------------------------------------------
@@ -100,7 +103,7 @@ def scan_snapshot(spark, sf_dir):
 
 @query
 def scan_all_snapshots(spark, sf_dir):
-    return staged_loans(spark, sf_dir).gold(LABELS)
+    return staged_loans(spark, sf_dir, gold=True).gold(LABELS)
 
 
 @query
@@ -111,24 +114,77 @@ def preview_snapshot(spark, sf_dir):
 
 @query
 def discover_snapshots(spark, sf_dir):
-    return tables.snapshot_dates(staged_loans(spark, sf_dir).silver(LOANS))
+    mart = staged_loans(spark, sf_dir)
+    return tables.date_frame(spark, tables.stored_dates(spark, mart.path("silver", LOANS.table)))
 
 
 @query
 def latest_snapshot(spark, sf_dir):
-    return comparable(tables.latest_snapshot(staged_loans(spark, sf_dir).silver(LOANS)))
+    mart = staged_loans(spark, sf_dir)
+    newest = tables.stored_dates(spark, mart.path("silver", LOANS.table))[-1]
+    return comparable(mart.silver(LOANS, [newest]))
+
+
+def monthly_files(raw: DataFrame, feed: feeds.Feed, folder: str) -> None:
+    """One CSV file for each snapshot, named as the feed's deliveries are, without that column.
+
+    The first month has its columns in another order, the last one lacks the name.
+    """
+    months = sorted(r[SNAPSHOT] for r in raw.select(SNAPSHOT).distinct().collect())
+    spark = raw.sparkSession
+    store = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for month in months:
+        kept = [c for c in raw.columns if c != SNAPSHOT]
+        if month == months[0]:
+            kept = kept[::-1]
+        elif month == months[-1]:
+            kept.remove("Name")
+        part = f"{folder}/parts-{month}"
+        rows = raw.filter(F.col(SNAPSHOT) == month).select(*kept)
+        rows.coalesce(1).write.option("header", True).csv(part)
+        names = [f.getPath() for f in store.listStatus(spark._jvm.org.apache.hadoop.fs.Path(part))]
+        written = next(n for n in names if n.getName().startswith("part-"))
+        name = f"bronze_{feed.stem}_{str(month).replace('-', '_')}.csv"
+        store.rename(written, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
 
 
 @query
 def date_from_filename(spark, sf_dir):
-    key, month = F.col("o_orderkey"), F.trunc("o_orderdate", "MM")
-    dated = F.concat(
-        F.lit("bronze_feature_attributes_"), F.date_format(month, "yyyy_MM_dd"), F.lit(".csv")
-    )
-    named = derived.table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.when(key % 10 == 0, "attributes.csv").otherwise(dated).alias("file_name")
-    )
-    return named.select("*", file_snapshot("file_name", required=False).alias(SNAPSHOT))
+    """The file each row came from, and the date in its name."""
+    folder = scratch_path(spark, "dated")
+    monthly_files(derived.attributes(spark, sf_dir), ATTRIBUTES, folder)
+    rows = with_source_file(scan_csv(spark, folder, schema="c string", pattern="*.csv", enforce=True))
+    counted = rows.groupBy("source_file").agg(F.count("*").alias("n"))
+    return counted.select("source_file", "n", file_snapshot("source_file").alias(SNAPSHOT))
+
+
+@query
+def silver_from_files(spark, sf_dir):
+    """Monthly files with unlike headers, each read by its own."""
+    folder = scratch_path(spark, "monthly")
+    monthly_files(derived.attributes(spark, sf_dir), ATTRIBUTES, folder)
+    mart = Mart(spark, scratch_path(spark, "monthly-mart"))
+    mart.build_silver_from_files(ATTRIBUTES, folder)
+    return mart.silver(ATTRIBUTES)
+
+
+@query
+def typed_csv_scan(spark, sf_dir):
+    """CSV read with inferred types."""
+    path = scratch_path(spark, "typed")
+    raw = derived.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    raw.write.option("header", True).csv(path)
+    rows = scan_csv(spark, path, infer=True)
+    return rows.select(F.col("c_custkey").cast("bigint"), "c_name", F.col("c_nationkey").cast("bigint"), F.col("c_acctbal").cast("double"))
+
+
+@query
+def tolerant_csv_scan(spark, sf_dir):
+    """CSV with a schema; rows that do not fit are kept with their text."""
+    path = scratch_path(spark, "tolerant")
+    derived.attributes(spark, sf_dir).select("Customer_ID", "Age").write.option("header", True).csv(path)
+    rows = scan_csv(spark, path, schema="Customer_ID string, Age int", keep_corrupt=True)
+    return rows.select("Customer_ID", "Age", F.col(CORRUPT).alias("corrupt"))
 
 
 @query
@@ -175,23 +231,68 @@ def bronze_slice(spark, sf_dir):
 @query
 def bronze_backfill(spark, sf_dir):
     mart = Mart(spark, scratch_path(spark, "bronze"))
-    dates = month_list(spark, FIRST_MONTH, LAST_MONTH)
     sources = [derived.RAW[name](spark, sf_dir) for name in FEEDS]
-    mart.backfill(list(FEEDS.values()), sources, dates)
+    mart.backfill(list(FEEDS.values()), sources, months_of(*sources))
     stored = {name: mart.bronze(feed) for name, feed in FEEDS.items()}
     counts = quality.rows_by_domain(stored)
     return counts.filter(F.col("level") == 0).drop("level")
 
 
+def _table_counts(mart: Mart, gold: tuple[str, ...], cleaned: list) -> DataFrame:
+    built = {f"silver/{feed.table}": mart.silver(feed) for feed in cleaned}
+    built |= {f"gold/{name}": mart.gold(name) for name in gold}
+    counts = quality.rows_by_domain(built)
+    return counts.filter(F.col("level") == 1).select("domain", "n")
+
+
 @query
 def mart_build(spark, sf_dir):
     mart = Mart(spark, scratch_path(spark, "mart"))
-    dates = month_list(spark, FIRST_MONTH, LAST_MONTH)
-    mart.run({name: raw(spark, sf_dir) for name, raw in derived.RAW.items()}, dates, dpd=DPD, mob=MOB)
-    built = {f"silver/{name}": mart.silver(feed) for name, feed in FEEDS.items()}
-    built |= {f"gold/{name}": mart.gold(name) for name in (LABELS, FEATURES)}
-    counts = quality.rows_by_domain(built)
-    return counts.filter(F.col("level") == 1).select("domain", "n")
+    sources = {name: raw(spark, sf_dir) for name, raw in derived.RAW.items()}
+    mart.run(sources, months_of(*sources.values()), dpd=DPD, mob=MOB)
+    return _table_counts(mart, (LABELS, FEATURES), list(FEEDS.values()))
+
+
+@query
+def label_rebuild(spark, sf_dir):
+    """Labels built again at another month on book: snapshots left empty must go."""
+    mart = staged_loans(spark, sf_dir, gold=True)
+    mart.build_labels(DPD, LATE_MOB)
+    return mart.gold(LABELS)
+
+
+@query
+def feed_redelivery(spark, sf_dir):
+    """A feed delivered again without one of its months."""
+    mart = Mart(spark, scratch_path(spark, "redelivery"))
+    raw = derived.financials(spark, sf_dir)
+    months = months_of(raw)
+    mart.run({FINANCIALS.table: raw}, months)
+    mart.run({FINANCIALS.table: raw.filter(F.col(SNAPSHOT) != F.lit(LOST_MONTH).cast("string"))}, months)
+    return _table_counts(mart, (FEATURES,), [FINANCIALS])
+
+
+@query
+def gold_incremental(spark, sf_dir):
+    """Month by month, with a loan type that the first month does not have."""
+    mart = Mart(spark, scratch_path(spark, "incremental"))
+    raw = derived.financials(spark, sf_dir)
+    late = F.col("Type_of_Loan").contains(LATE_LOAN) & (F.col(SNAPSHOT) != F.lit(LOST_MONTH).cast("string"))
+    raw = raw.filter(~F.coalesce(late, F.lit(False)))
+    for month in months_of(raw):
+        mart.run({FINANCIALS.table: raw}, [month])
+    rows = mart.gold(FEATURES)
+    return rows.select(*FEATURE_KEYS, *[c for c in rows.columns if c.startswith("loan_")], "Credit_History_Months")
+
+
+@query
+def matched_build(spark, sf_dir):
+    """The written table of matched features, for the snapshots that all feeds have."""
+    mart = Mart(spark, scratch_path(spark, "matched"))
+    for feed in (ATTRIBUTES, FINANCIALS, CLICKSTREAM):
+        mart.build_silver(feed, derived.RAW[feed.table](spark, sf_dir))
+    mart.build_matched_features()
+    return _comparable_features(mart.gold(MATCHED_FEATURES))
 
 
 # Casts --------------------------------------------------------------------
@@ -433,10 +534,27 @@ def common_snapshots(spark, sf_dir):
 
 @query
 def gold_common_snapshots(spark, sf_dir):
-    cleaned = [attributes(spark, sf_dir), financials(spark, sf_dir), clicks(spark, sf_dir)]
-    dates = tables.common_snapshots(*cleaned)
-    kept = [tables.in_snapshots(t, dates) for t in cleaned]
-    return _comparable_features(features.matched_feature_table(*kept))
+    """Common dates are settled once, from the date columns alone, and then filter all three feeds."""
+    raws = [raw(spark, sf_dir) for raw in (derived.attributes, derived.financials, derived.clickstream)]
+    cleaned = [conform(r, f) for r, f in zip(raws, (ATTRIBUTES, FINANCIALS, CLICKSTREAM))]
+    dates = [r[SNAPSHOT] for r in tables.common_snapshots(*cleaned).collect()]
+    kept = [slice_snapshots(r, dates) for r in raws]
+    return _comparable_features(
+        features.matched_feature_table(*[conform(r, f) for r, f in zip(kept, (ATTRIBUTES, FINANCIALS, CLICKSTREAM))])
+    )
+
+
+@query
+def skewed_join(spark, sf_dir):
+    """Every pair of a user's events within an hour band: a few users hold many."""
+    events = derived.table(spark, sf_dir, "events")
+    band = (F.hour("ts") % 2).alias("band")
+    one = events.select(F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("user"), band, F.col("value").alias("a"))
+    other = events.filter("event_id % 40 = 0").select(
+        F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("user"), band, F.col("value").alias("b")
+    )
+    joined = balanced_join(one, other, ("user", "band"), "inner", rows_per_cell=500)
+    return joined.groupBy("user", "band").agg(F.count("*").alias("n"), F.round(F.sum(F.floor("a") * F.floor("b")), 0).cast("bigint").alias("s"))
 
 
 # Quality ------------------------------------------------------------------
@@ -570,6 +688,7 @@ def distinct_ages_sorted(spark, sf_dir):
 
 @query
 def union_feeds(spark, sf_dir):
+    """All months of a feed, each its own frame, stacked."""
     rows = _draft_attributes(spark, sf_dir)
-    months = [rows.filter(F.col(SNAPSHOT) == F.lit(d)) for d in (CLICK_MONTH, dt.date(2024, 2, 1))]
-    return tables.union_frames(*months)
+    months = sorted(r[SNAPSHOT] for r in tables.snapshot_dates(rows).filter(F.col(SNAPSHOT).isNotNull()).collect())
+    return tables.union_frames(*[rows.filter(F.col(SNAPSHOT) == F.lit(d)) for d in months])

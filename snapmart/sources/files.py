@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..feeds import SNAPSHOT, Feed
 from ..functions.dates import among, file_snapshot
+from .tables import union_frames
 
 CORRUPT = "_corrupt_record"
 
@@ -21,16 +22,17 @@ def scan_csv(
     recursive: bool = False,
     keep_corrupt: bool = False,
     skip_bad_files: bool = False,
+    enforce: bool = False,
 ) -> DataFrame:
     """Scan CSV files with a header; columns are text unless a schema is given.
 
     ``infer`` reads the data twice and is meant for exploration. ``keep_corrupt``
     adds the raw line of rows that do not fit the schema. ``skip_bad_files`` leaves
     unreadable or vanished files out instead of failing; without it nothing is lost
-    silently.
+    silently. ``enforce`` takes columns by place, whatever the header says.
     """
-    # Every file's header is checked, so columns cannot swap places between files.
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    # Every file's header is checked, so columns cannot swap places within a scan.
+    reader = spark.read.option("header", True).option("enforceSchema", enforce)
     if schema is not None:
         if keep_corrupt:
             schema = f"{schema}, `{CORRUPT}` string"
@@ -52,16 +54,39 @@ def with_source_file(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_name").alias("source_file"))
 
 
+def _header_lines(spark: SparkSession, folder: str, pattern: str) -> dict[str, list[str]]:
+    """First line -> files of a folder; one block of each file is read."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/{pattern}")
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[str, list[str]] = {}
+    for entry in store.globStatus(place) or []:
+        stream = store.open(entry.getPath())
+        try:
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        out.setdefault(line or "", []).append(entry.getPath().toString())
+    return out
+
+
 def scan_feed_files(spark: SparkSession, folder: str, feed: Feed) -> DataFrame:
-    """All monthly files of a feed in one scan, dated by file name.
+    """All monthly files of a feed, dated by file name.
 
-    Files are chosen by the feed's stem. The date in the name becomes the snapshot;
-    a name without a date fails.
+    Files are chosen by the feed's stem and read by their own headers: one scan for
+    each distinct header, columns matched by name, absent ones null. The date in the
+    name becomes the snapshot; a name without a date fails.
     """
-    rows = scan_csv(spark, folder, pattern=f"*{feed.stem}*.csv")
-    kept = [c for c in rows.columns if c != SNAPSHOT]
-    named = rows.select(*kept, F.col("_metadata.file_name").alias("source_file"))
-    return named.select(*kept, file_snapshot("source_file").alias(SNAPSHOT))
+    headers = _header_lines(spark, folder, f"*{feed.stem}*.csv")
+    if not headers:
+        raise FileNotFoundError(f"no file of {feed.stem} in {folder}")
+    frames = []
+    for paths in headers.values():
+        rows = scan_csv(spark, sorted(paths))
+        kept = [c for c in rows.columns if c != SNAPSHOT]
+        named = rows.select(*kept, F.col("_metadata.file_name").alias("source_file"))
+        frames.append(named.select(*kept, file_snapshot("source_file").alias(SNAPSHOT)))
+    return union_frames(*frames)
 
 
 def slice_snapshots(raw: DataFrame, dates: list) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -14,25 +15,65 @@ from ..functions.dates import among
 _NO_DATA = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
 
+#: A write that covers all snapshots of its table.
+ALL = "all"
+
+
 class NoSnapshots(FileNotFoundError):
     """A table that must exist has no data."""
 
 
+def _folder(spark: SparkSession, path: str):
+    """File system and path object of a folder, in whatever store it lies."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
+def partition_folders(spark: SparkSession, path: str) -> dict[dt.date | None, str]:
+    """Snapshot date -> folder, from folder names alone; None is the folder of rows without a date."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return {}
+    out: dict[dt.date | None, str] = {}
+    for entry in files.listStatus(folder):
+        name, mark, value = entry.getPath().getName().partition("=")
+        if entry.isDirectory() and mark and name == SNAPSHOT:
+            out[None if value.startswith("__HIVE_DEFAULT") else dt.date.fromisoformat(value)] = entry.getPath().toString()
+    return out
+
+
+def _files(spark: SparkSession, folder: str) -> frozenset[str]:
+    files, place = _folder(spark, folder)
+    return frozenset(f.getPath().getName() for f in files.listStatus(place))
+
+
 def write_snapshots(
     df: DataFrame,
     path: str,
     *,
     fmt: str = "parquet",
+    dates: list | str | None = None,
     rebalance: bool = True,
     max_records_per_file: int = 0,
 ) -> int:
-    """Replace the snapshots present in ``df``, keep all others; return the row count.
+    """Replace the snapshots present in ``df``; return the row count.
+
+    ``dates`` are the snapshots that the write covers, or ``ALL``: of these, the ones
+    that got no row are removed once the write has succeeded. All others are kept.
 
     Rows are rebalanced on the snapshot: small months share a task and a large one is
     split into files of the advisory partition size, so neither a month nor a task
     grows with the data. The count is taken while writing, not in a second pass.
     Writing the same rows again leaves the table unchanged.
     """
+    spark = df.sparkSession
+    found = partition_folders(spark, path) if dates is not None else {}
+    before = {d: _files(spark, f) for d, f in found.items() if dates == ALL or d in set(dates)}
     counted = Observation()
     rows = df.hint("rebalance", F.col(SNAPSHOT)) if rebalance else df
     # Counted in the writing stage: a map stage repeated after an executor loss
@@ -47,9 +88,22 @@ def write_snapshots(
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
+    for date, files in before.items():
+        # A snapshot that got rows has new files.
+        if _files(spark, found[date]) == files:
+            store, folder = _folder(spark, found[date])
+            store.delete(folder, True)
     return counted.get["rows"]
 
 
+def drop_snapshots(spark: SparkSession, path: str, dates: list) -> None:
+    """Remove the given snapshots of a table."""
+    for date, folder in partition_folders(spark, path).items():
+        if date in set(dates):
+            store, place = _folder(spark, folder)
+            store.delete(place, True)
+
+
 def read_snapshots(
     spark: SparkSession,
     path: str,
@@ -61,8 +115,8 @@ def read_snapshots(
 ) -> DataFrame:
     """Scan a snapshot table, all of it or only the given dates.
 
-    A date filter prunes partitions. ``merge_schema`` is for tables whose months were
-    built with different loan vocabularies; it reads every footer, so it is off.
+    A date filter prunes partitions. ``merge_schema`` reads every footer, so it is off;
+    a given ``schema`` does the same for tables whose months differ in their columns.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -85,16 +139,30 @@ def optional_snapshots(
 ) -> DataFrame:
     """The table, or an empty frame of the given schema when it does not exist."""
     try:
-        return read_snapshots(spark, path, dates=dates)
+        if exists(spark, path):
+            return read_snapshots(spark, path, dates=dates)
     except NoSnapshots:
-        return spark.createDataFrame([], schema)
+        pass
+    return spark.createDataFrame([], schema)
 
 
 def snapshot_dates(table: DataFrame) -> DataFrame:
-    """Distinct snapshot dates of a table."""
+    """Distinct snapshot dates of any frame."""
     return table.select(SNAPSHOT).distinct()
 
 
+def stored_dates(spark: SparkSession, path: str) -> list[dt.date]:
+    """Snapshot dates of a table from its folder names: no file is opened."""
+    dates = sorted(d for d in partition_folders(spark, path) if d is not None)
+    if not dates:
+        raise NoSnapshots(f"no snapshots under {path}")
+    return dates
+
+
+def date_frame(spark: SparkSession, dates: list[dt.date]) -> DataFrame:
+    return spark.createDataFrame([(d,) for d in dates], f"{SNAPSHOT} date")
+
+
 def latest_snapshot(table: DataFrame) -> DataFrame:
     """Rows of the newest snapshot; the date is a subquery that prunes partitions."""
     newest = table.agg(F.max(SNAPSHOT)).scalar()

@@ -50,8 +50,8 @@ def test_grid_join_equals_nested_loop(spark, how, hot_left, hot_right):
     left_rows += [("g", 0, 1), ("g", 0, 2), ("only left", 0, 1)]
     left, right = frame(spark, left_rows, "l"), frame(spark, right_rows, "r")
     heavy = find_heavy_keys([left, right], KEYS, rows_per_cell=9)
-    assert {hot_left, hot_right} - {None} <= {row[:2] for row in heavy.rows}
-    grid = KeyGrid(left, heavy)
+    assert {hot_left, hot_right} - {None} <= {(r.k, r.d) for r in heavy.sizes.collect()}
+    grid = KeyGrid(heavy)
     joined = grid.join(grid.left(left), grid.right(right), how)
     unique = left.select(*KEYS).union(right.select(*KEYS)).distinct().withColumn("u", F.length("k"))
     both = grid.done(joined.join(grid.every(unique), grid.on, "left"))
@@ -63,7 +63,7 @@ def test_grid_join_equals_nested_loop(spark, how, hot_left, hot_right):
 
 def test_heavy_rows_spread_over_cells(spark):
     left = frame(spark, [("h", 1, 7)] * 300, "l")
-    grid = KeyGrid(left, find_heavy_keys([left, left], KEYS, rows_per_cell=30))
+    grid = KeyGrid(find_heavy_keys([left, left], KEYS, rows_per_cell=30))
     # Ten left cells of about thirty rows, each copied to ten right cells.
     sizes = [r["count"] for r in grid.left(left).groupBy("cell_left").count().collect()]
     assert len(sizes) == 10 and sum(sizes) == 3000 and max(sizes) < 400
@@ -73,7 +73,7 @@ def test_heavy_rows_spread_over_cells(spark):
 
 def test_cells_are_found_by_hash(spark):
     left = frame(spark, [("h", 1, 7)] * 30, "l")
-    grid = KeyGrid(left, find_heavy_keys([left, left], KEYS, rows_per_cell=10))
+    grid = KeyGrid(find_heavy_keys([left, left], KEYS, rows_per_cell=10))
     text = grid.left(left)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text
 
@@ -81,12 +81,33 @@ def test_cells_are_found_by_hash(spark):
 def test_no_heavy_key_leaves_the_plain_join(spark):
     left = frame(spark, make_rows(1, 60, ("h", 1)), "l")
     heavy = find_heavy_keys([left], KEYS)
-    assert not heavy and KeyGrid(left, heavy).left(left) is left
+    assert not heavy and KeyGrid(heavy).left(left) is left
 
 
 def test_counts_are_exact(spark):
     left, right = frame(spark, [("h", 1, 0)] * 40, "l"), frame(spark, [("h", 1, 0)] * 3, "r")
-    assert find_heavy_keys([left, right], KEYS, rows_per_cell=10).rows == [("h", 1, 40, 3)]
+    rows = find_heavy_keys([left, right], KEYS, rows_per_cell=10).sizes.collect()
+    assert [(r.k, r.d, r.n0, r.n1, r.n_left, r.n_right) for r in rows] == [("h", 1, 40, 3, 4, 1)]
+
+
+def test_no_heavy_key_is_missed(spark):
+    """Many keys just above the limit among many rows: no share of the table decides."""
+    rows = [(f"k{i}", 0, j) for i in range(60) for j in range(12)] + [(f"light{i}", 0, i) for i in range(3000)]
+    heavy = find_heavy_keys([frame(spark, rows, "l")], KEYS, rows_per_cell=11)
+    assert {r.k for r in heavy.sizes.collect()} == {f"k{i}" for i in range(60)}
+
+
+def test_two_sides_just_under_the_limit(spark, monkeypatch):
+    """Neither side is heavy by rows, but their pairs are: the largest cell stays bounded."""
+    monkeypatch.setattr(joins, "PAIRS_PER_ROW", 10)
+    left, right = frame(spark, [("h", 1, i) for i in range(90)], "l"), frame(spark, [("h", 1, i) for i in range(90)], "r")
+    grid = KeyGrid(find_heavy_keys([left, right], KEYS, rows_per_cell=100))
+    assert grid.active
+    joined = grid.join(grid.left(left), grid.right(right), "inner")
+    cells = joined.groupBy(*[c for c in joined.columns if c.startswith("cell_")]).count().collect()
+    assert sum(c["count"] for c in cells) == 8100 and max(c["count"] for c in cells) <= 2200
+    got = joins.balanced_join(left, right, KEYS, "inner", rows_per_cell=100)
+    assert got.columns == ["k", "d", "l", "r"] and got.distinct().count() == got.count() == 8100
 
 
 @pytest.mark.parametrize("rows_per_cell", [5, joins.ROWS_PER_CELL])

@@ -144,6 +144,72 @@ def test_latest_labels(spark, mart):
     assert newest.count() == labels.filter(F.col("snapshot_date") == F.lit(top)).count() > 0
 
 
+def test_rebuild_leaves_no_row_of_the_first_build(spark, sources, dates, tmp_path):
+    store = Mart(spark, str(tmp_path))
+    store.run({"loan_daily": sources["loan_daily"]}, dates)
+    n = store.build_labels(30, 7)
+    gold = store.gold(LABELS)
+    assert gold.count() == n and {r.label_def for r in gold.select("label_def").distinct().collect()} == {"30dpd_7mob"}
+    # Some dates only: the others keep what they hold.
+    one = gold.first().snapshot_date
+    kept = gold.filter(F.col("snapshot_date") != F.lit(one)).count()
+    store.build_labels(30, 6, [one])
+    assert store.gold(LABELS).filter("label_def = '30dpd_7mob'").count() == kept
+
+
+def test_month_missing_in_a_second_delivery_goes_from_every_layer(spark, tmp_path):
+    months = [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    raw = derived.financials(spark, SF)
+    store = Mart(spark, str(tmp_path))
+    store.run({"financials": raw}, months)
+    january = raw.filter("snapshot_date = '2024-01-01'")
+    counts = store.run({"financials": january}, months)
+    assert counts["silver/financials"] == counts["gold/feature_store"] == january.count()
+    for table in (store.bronze(FINANCIALS), store.silver(FINANCIALS), store.gold(FEATURES)):
+        assert table.count() == january.count()
+    assert store.run({"financials": raw.filter("false")}, months)["gold/feature_store"] == 0
+
+
+def test_loan_type_that_comes_late(spark, tmp_path):
+    months = [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    raw = derived.financials(spark, SF).withColumn(
+        "Type_of_Loan",
+        F.expr("CASE WHEN Type_of_Loan IS NULL THEN NULL WHEN snapshot_date = '2024-01-01' THEN 'Auto Loan' "
+               "ELSE 'Auto Loan, and Payday Loan' END"),
+    )
+    step, whole = Mart(spark, str(tmp_path / "step")), Mart(spark, str(tmp_path / "whole"))
+    for month in months:
+        step.run({"financials": raw}, [month])
+    whole.run({"financials": raw}, months)
+    assert "loan_payday_loan" in step.gold(FEATURES).columns
+    assert same(step.gold(FEATURES), whole.gold(FEATURES))
+    assert same(step.gold(FEATURES, months[:1]), whole.gold(FEATURES, months[:1]))
+
+
+def test_any_number_of_loan_types(spark):
+    from snapmart.operators.features import with_loan_flags
+
+    rows = spark.range(1200).selectExpr("concat('Type ', id) AS Type_of_Loan", "'c' AS Customer_ID", "date'2024-01-01' AS snapshot_date")
+    assert len(with_loan_flags(rows).columns) == 1203
+
+
+def test_silver_from_bronze_does_not_shuffle(spark, mart):
+    from snapmart.operators.silver import conform
+
+    rows = conform(mart.bronze(ATTRIBUTES), ATTRIBUTES)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dates_come_from_folder_names(spark, mart):
+    from snapmart.sources.tables import NoSnapshots, stored_dates
+
+    dates = stored_dates(spark, mart.path("silver", "attributes"))
+    assert dates == [dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    assert mart.common_dates(ATTRIBUTES, FINANCIALS, CLICKSTREAM) == dates[:1]
+    with pytest.raises(NoSnapshots):
+        stored_dates(spark, mart.path("silver", "none"))
+
+
 def test_labels_push_the_month_into_the_silver_scan(spark, mart):
     from snapmart.operators.labels import label_table
 

@@ -56,3 +56,9 @@ def test_gold_shuffles_each_input_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_common_dates_are_settled_before_the_plan(spark):
+    df = QUERIES["gold_common_snapshots"](spark, SF)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 3

@@ -34,6 +34,18 @@ def test_write_replaces_only_the_given_snapshots(spark, tmp_path):
     assert content(tables.read_snapshots(spark, path)) == want
 
 
+def test_covered_snapshots_without_rows_are_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_snapshots(rows(spark, ("a", 1, JAN), ("b", 2, FEB), ("c", 3, MAR)), path)
+    tables.write_snapshots(rows(spark, ("d", 4, JAN)), path, dates=[JAN, FEB])
+    assert content(tables.read_snapshots(spark, path)) == [("c", 3, MAR), ("d", 4, JAN)]
+    tables.write_snapshots(rows(spark, ("e", 5, FEB)), path, dates=tables.ALL)
+    assert content(tables.read_snapshots(spark, path)) == [("e", 5, FEB)]
+    tables.drop_snapshots(spark, path, [FEB, MAR])
+    with pytest.raises(tables.NoSnapshots):
+        tables.read_snapshots(spark, path)
+
+
 def test_rows_without_a_date_are_kept(spark, tmp_path):
     path = str(tmp_path / "t")
     assert tables.write_snapshots(rows(spark, ("a", 1, JAN), ("b", 2, None)), path) == 2
@@ -129,6 +141,20 @@ def test_monthly_files_take_their_date_from_the_name(spark, tmp_path):
         scan_feed_files(spark, str(tmp_path), ATTRIBUTES).collect()
 
 
+def test_monthly_files_are_read_by_their_own_header(spark, tmp_path):
+    write(tmp_path / "features_attributes_2024_01_01.csv", "Customer_ID,Age,Name\n1,20,A\n")
+    write(tmp_path / "features_attributes_2024_02_01.csv", "Name,Customer_ID,Age\nB,2,30\n")
+    write(tmp_path / "features_attributes_2024_03_01.csv", "Customer_ID,Age\n3,40\n")
+    df = scan_feed_files(spark, str(tmp_path), ATTRIBUTES)
+    assert sorted((r.Customer_ID, r.Age, r.Name, r.snapshot_date) for r in df.collect()) == [
+        ("1", "20", "A", JAN),
+        ("2", "30", "B", FEB),
+        ("3", "40", None, MAR),
+    ]
+    with pytest.raises(FileNotFoundError):
+        scan_feed_files(spark, str(tmp_path), LOANS)
+
+
 def test_files_with_swapped_columns_are_refused(spark, tmp_path):
     write(tmp_path / "a.csv", "p,q\n1,2\n")
     write(tmp_path / "b.csv", "q,p\n3,4\n")
