@@ -98,7 +98,8 @@ SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 20_000, 2_000
 EPOCHS, RATE, BATCH = 10, 0.01, 128
 #: Least mean log-odds of an added span's labels against no label.
 CERTAIN = 4.0
-WINDOWS_AT_ONCE = 512
+#: Bounds of what is decoded together.
+WINDOWS_AT_ONCE, CHARS_AT_ONCE = 512, 100_000
 
 _MARK = re.compile(r"[0-9@]|(?i:[\[({ ](?:at)[\])} ])(?=[^\n]{1,40}?(?:\.|dot))")
 
@@ -339,7 +340,7 @@ def sample_for_training(docs: DataFrame) -> list[tuple[int, str, list[Span]]]:
                     rows.append((4 if marks else 5, text[max(0, middle - WINDOW) : middle + WINDOW], []))
             yield pd.DataFrame(rows, columns=["kind", "piece", "flat"])
 
-    share = SAMPLE_DOCUMENTS / max(docs.count(), 1)
+    share = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
     first = docs.where(F.shiftrightunsigned(F.xxhash64("text", F.lit("pii")), 11) < int(share * (1 << 53)))
     pieces = first.mapInPandas(cut, "kind int, piece string, flat array<int>")
     few = pieces.orderBy(F.col("kind") == 5, F.xxhash64("piece")).limit(SAMPLE_WINDOWS).collect()
@@ -361,19 +362,23 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def emissions(tagger: Tagger, codes: np.ndarray) -> np.ndarray:
-    """Label scores of a stretch: windows that overlap by half, summed with a weight by depth."""
-    starts = list(range(0, max(1, len(codes) - STRIDE), STRIDE))
+def emissions(tagger: Tagger, pieces: list[np.ndarray]) -> list[np.ndarray]:
+    """Label scores of coded stretches: windows that overlap by half, summed with a weight by depth.
+
+    Windows of all stretches go through the tagger together, a bounded number at a time.
+    """
     weight = 1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]).astype(np.float32)
-    total, mass = np.zeros((len(codes), LABELS), np.float32), np.zeros((len(codes), 1), np.float32)
-    for at in range(0, len(starts), WINDOWS_AT_ONCE):
-        some = starts[at : at + WINDOWS_AT_ONCE]
-        cut = np.array([_padded(codes[s : s + WINDOW], ALPHABET.index("\n")) for s in some])
-        for s, scores in zip(some, tagger.scores(cut)):
-            n = min(WINDOW, len(codes) - s)
-            total[s : s + n] += scores[:n] * weight[:n, None]
-            mass[s : s + n] += weight[:n, None]
-    return total / mass
+    total = [np.zeros((len(p), LABELS), np.float32) for p in pieces]
+    mass = [np.zeros((len(p), 1), np.float32) for p in pieces]
+    places = [(k, s) for k, p in enumerate(pieces) for s in range(0, max(1, len(p) - STRIDE), STRIDE)]
+    for at in range(0, len(places), WINDOWS_AT_ONCE):
+        some = places[at : at + WINDOWS_AT_ONCE]
+        cut = np.array([_padded(pieces[k][s : s + WINDOW], ALPHABET.index("\n")) for k, s in some])
+        for (k, s), scores in zip(some, tagger.scores(cut)):
+            n = min(WINDOW, len(pieces[k]) - s)
+            total[k][s : s + n] += scores[:n] * weight[:n, None]
+            mass[k][s : s + n] += weight[:n, None]
+    return [t / m for t, m in zip(total, mass)]
 
 
 def _holds(kind: int, found: str) -> bool:
@@ -389,32 +394,56 @@ def _holds(kind: int, found: str) -> bool:
     return 9 <= digits <= 15
 
 
-def added_spans(tagger: Tagger, text: str, base: list[Span]) -> list[Span]:
-    """Spans of the tagger that are certain, hold what their kind needs and overlap no base span."""
-    out: list[Span] = []
-    for a, b in stretches(text):
-        if sum(c in "0123456789" for c in text[a:b]) < 4 and "@" not in text[a:b] and not re.search(r"(?i)\bat\b", text[a:b]):
-            continue
-        emit = emissions(tagger, encode(text[a:b]))
-        path = tagger.best_path(emit)
-        odds = emit[np.arange(len(path)), path] - emit[:, 0]
-        start = 0
-        while start < len(path):
-            label, end = path[start], start + 1
-            if label:
-                inside = 2 + 2 * ((label - 1) // 2)
-                while end < len(path) and path[end] == inside:
-                    end += 1
-                kind = int((label - 1) // 2)
-                x, y = a + start, a + end
+def _worth_decoding(piece: str) -> bool:
+    """Whether a stretch could hold a span of any kind."""
+    return sum(c in "0123456789" for c in piece) >= 4 or "@" in piece or bool(re.search(r"(?i)\bat\b", piece))
+
+
+def _spans_on(tagger: Tagger, emit: np.ndarray) -> list[Span]:
+    """(kind, start, end) of the certain spans on the best path of a stretch."""
+    path = tagger.best_path(emit)
+    odds = emit[np.arange(len(path)), path] - emit[:, 0]
+    out, start = [], 0
+    while start < len(path):
+        label, end = path[start], start + 1
+        if label:
+            inside = 2 + 2 * ((label - 1) // 2)
+            while end < len(path) and path[end] == inside:
+                end += 1
+            if odds[start:end].mean() >= CERTAIN:
+                out.append((int((label - 1) // 2), start, end))
+        start = end
+    return out
+
+
+def added_spans(tagger: Tagger, texts: list[str], base: list[list[Span]]) -> list[list[Span]]:
+    """Of each text the spans of the tagger that are certain, hold what their kind needs and overlap no base span."""
+    out: list[list[Span]] = [[] for _ in texts]
+    held: list[tuple[int, int, int]] = []
+
+    def decode() -> None:
+        for (k, a, _), emit in zip(held, emissions(tagger, [encode(texts[k][a:b]) for k, a, b in held])):
+            text = texts[k]
+            for kind, x, y in _spans_on(tagger, emit):
+                x, y = a + x, a + y
                 while y > x and text[y - 1] in " .,;:\n":
                     y -= 1
                 while x < y and text[x] in " .,;:\n":
                     x += 1
-                sure = odds[start:end].mean() >= CERTAIN
-                if sure and y > x and _holds(kind, text[x:y]) and not any(s < y and x < e for _, s, e in base):
-                    out.append((kind, x, y))
-            start = end
+                if y > x and _holds(kind, text[x:y]) and not any(s < y and x < e for _, s, e in base[k]):
+                    out[k].append((kind, x, y))
+        held.clear()
+
+    chars = 0
+    for k, text in enumerate(texts):
+        for a, b in stretches(text):
+            if _worth_decoding(text[a:b]):
+                held.append((k, a, b))
+                chars += b - a
+                if chars >= CHARS_AT_ONCE:
+                    decode()
+                    chars = 0
+    decode()
     return out
 
 
@@ -433,13 +462,13 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     @F.pandas_udf(f"struct<base:{span},added:{span}>")
     def spans(texts: pd.Series) -> pd.DataFrame:
-        base, added = [], []
+        base = []
         for text in texts:
-            own = base_spans(text) if text else []
-            more = added_spans(model.value, text, own) if text and model.value is not None else []
-            base.append([dict(zip(("kind", "start", "stop"), s)) for s in sorted(own)])
-            added.append([dict(zip(("kind", "start", "stop"), s)) for s in sorted(more)])
-        return pd.DataFrame({"base": base, "added": added})
+            base.append(base_spans(text or ""))
+        whole = [text or "" for text in texts]
+        added = added_spans(model.value, whole, base) if model.value is not None else [[] for _ in whole]
+        rows = lambda found: [[dict(zip(("kind", "start", "stop"), s)) for s in sorted(own)] for own in found]
+        return pd.DataFrame({"base": rows(base), "added": rows(added)})
 
     return narrow.select("doc_id", spans("text").alias("found")).select("doc_id", "found.base", "found.added")
 

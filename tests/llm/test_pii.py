@@ -107,19 +107,19 @@ def test_held_out_accuracy(tagger):
 def test_disguised_spans_are_added_and_clean_text_is_not(tagger):
     plain = "some words go here and then reach me under "
     hidden = plain + "bob.22 [at] mailhost [dot] example.com for the rest of it all"
-    more = pii.added_spans(tagger, hidden, pii.base_spans(hidden))
+    (more,) = pii.added_spans(tagger, [hidden], [pii.base_spans(hidden)])
     assert not pii.base_spans(hidden) and all(k == 0 for k, *_ in more)
     for clean in (plain * 20, "in 1999 and 2003 there were 12 of 40 left", "Version 2.0 (section 3)"):
-        assert pii.added_spans(tagger, clean, []) == []
+        assert pii.added_spans(tagger, [clean], [[]]) == [[]]
 
 
 def test_windows_of_a_long_stretch_agree(tagger):
     text = " ".join(synthetic(30, 9))
     codes = pii.encode(text)
-    emit = pii.emissions(tagger, codes)
+    (emit,) = pii.emissions(tagger, [codes])
     assert emit.shape == (len(text), pii.LABELS)
     # Far from the ends the summed scores do not depend on where the stretch begins.
-    other = pii.emissions(tagger, codes[pii.STRIDE :])
+    (other,) = pii.emissions(tagger, [codes[pii.STRIDE :]])
     assert (np.abs(emit[200:400] - other[200 - pii.STRIDE : 400 - pii.STRIDE]) < 1e-3).all()
 
 
