@@ -36,7 +36,7 @@ KEPT_FEATURES = 1_500
 #: Beginnings of words that are features.
 BEGINNINGS = (3, 4, 5, 6, 7)
 #: A kept feature is in this many positive rows, and its G statistic and odds are as large.
-LEAST_ROWS, LEAST_G, LEAST_ODDS = 4, 15.0, 4.0
+LEAST_ROWS, LEAST_G, LEAST_ODDS = 4, 8.0, 4.0
 FOLDS = 4
 ROUNDS, RATE, DECAY = 300, 0.3, 1e-5
 LIMIT = 0.5

@@ -20,7 +20,7 @@ def corpus(n, seed):
         if toxic:
             words[rng.randint(0, 39)] = rng.choice(BAD) + ("s" if k % 8 == 0 else "")
         if junk:
-            words[rng.randint(0, 39)] = "###"
+            words.insert(rng.randint(0, 39), "###")
         out.append((k, " ".join(words), int(not junk), int(toxic)))
     return out
 
@@ -75,7 +75,7 @@ def test_constant_and_unknown_categories():
     rows = [([0], [1.0, None]), ([], [1.0, None])]
     chain = toxicity.fit_chain(["all", "none"], ["x"], rows)
     p = chain.probabilities(np.zeros((1, 2)))
-    assert p[0, 0] > 0.9 and p[0, 1] == 0
+    assert p[0, 0] > 0.9 and p[0, 1] < 1e-9
 
 
 def test_edge_rows(spark, edge, clashing, empty, tables):
@@ -87,7 +87,7 @@ def test_edge_rows(spark, edge, clashing, empty, tables):
     assert toxicity.toxicity(empty, labels).count() == 0
     odd = labels.unionByName(spark.createDataFrame([(None, None, 1), (1, None, None), (10**9, 1, 1)], labels.schema))
     assert toxicity.toxicity(docs, odd).count() == 800
-    assert toxicity.without_toxic(clashing, none).schema == clashing.schema
+    assert toxicity.without_toxic(clashing, none).dtypes == clashing.dtypes
 
 
 def test_query(spark):
