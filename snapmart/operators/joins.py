@@ -28,6 +28,8 @@ from ..plans.workdir import scratch_path
 # Rows of a key on one side, and pairs of a key, that one cell should take.
 ROWS_PER_CELL = 1_000_000
 PAIRS_PER_ROW = 100
+# Hash buckets of the first look at the keys.
+FIRST_BUCKETS = 4_096
 
 CELL = ("cell_left", "cell_right")
 
@@ -64,17 +66,24 @@ def find_heavy_keys(
     def heavy(row: dict) -> Column:
         """Also true for no rows of one side: nulls and left rows without a match are dealt too."""
         many = reduce(lambda a, b: a | b, [row[n] > rows_per_cell for n in names])
-        return many | (row["n0"] * row["n1"] > pairs) if len(frames) == 2 else many
-
-    totals = tagged.agg(*counts).first()
-    most = math.prod(totals) if len(frames) == 2 else 0
-    if max(totals) <= rows_per_cell and most <= pairs:
+        return many | (row["n0"].cast("double") * row["n1"] > pairs) if len(frames) == 2 else many
+
+    def in_buckets(n: int) -> tuple[DataFrame, DataFrame]:
+        placed = tagged.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(n)))
+        return placed, placed.groupBy("bucket").agg(*counts)
+
+    # One job settles most inputs: no key has more rows or pairs than its bucket.
+    _, counted = in_buckets(FIRST_BUCKETS)
+    first = counted.agg(
+        F.count_if(heavy({n: F.col(n) for n in names})).alias("heavy"), *[F.sum(n).alias(n) for n in names]
+    ).first()
+    if not first.heavy:
         return HeavyKeys(tuple(keys))
     # So many that a bucket of ordinary keys is far below both limits.
     fair = min(rows_per_cell, math.isqrt(pairs)) if len(frames) == 2 else rows_per_cell
-    buckets = 1 << (8 * sum(totals) // fair + 1).bit_length()
-    placed = tagged.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
-    full = placed.groupBy("bucket").agg(*counts).filter(heavy({n: F.col(n) for n in names})).select("bucket")
+    rows = sum(first[n] for n in names)
+    placed, counted = in_buckets(max(FIRST_BUCKETS, 1 << (8 * rows // fair + 1).bit_length()))
+    full = counted.filter(heavy({n: F.col(n) for n in names})).select("bucket")
     exact = placed.join(full, "bucket", "left_semi").groupBy(*keys).agg(*counts)
     found = exact.filter(heavy({n: F.col(n) for n in names}))
     if len(frames) == 1:
@@ -85,7 +94,7 @@ def find_heavy_keys(
     left = F.greatest(F.ceil(rows_left / rows_per_cell), F.lit(1))
     right = F.greatest(F.ceil(rows_right / rows_per_cell), F.lit(1))
     sized = found.withColumns({"rows_left": left, "rows_right": right})
-    over = F.greatest(F.ceil(rows_left * rows_right / (F.col("rows_left") * F.col("rows_right") * pairs)), F.lit(1))
+    over = F.greatest(F.ceil(rows_left.cast("double") * rows_right / (F.col("rows_left") * F.col("rows_right") * pairs)), F.lit(1))
     sized = sized.withColumn("over", over).withColumn("side", F.ceil(F.sqrt("over")))
     sized = sized.select(
         *keys,
