@@ -42,8 +42,10 @@ LEAST_SCORE = 0.6
 LEAST_OVERLAP = 0.8
 SHINGLE = 5
 #: Parts in a block, and bytes of item texts in one index.
-BLOCK = 8
+BLOCK = 4
 INDEX_BYTES = 16 << 20
+#: Cells of a table of block bounds, and passages of a text that are looked at together.
+TABLE_CELLS, PASSAGES_AT_ONCE = 4 << 20, 1024
 
 _WORD = re.compile(r"\w+")
 _SENTENCE_END = re.compile(r"[.?!:]\s+|\n")
@@ -102,6 +104,12 @@ class Index:
         self.block_most = [np.fromiter(m.values(), np.float64, len(m)) for m in self.blocks]
         self.n_blocks = -(-len(parts) // BLOCK)
         self.most = np.array([max(xs) for xs in self.impacts] + [0.0])
+        # The same bounds as a table, where that is small: a passage's bounds are a sum of its rows.
+        self.table = None
+        if len(self.most) * self.n_blocks <= TABLE_CELLS:
+            self.table = np.zeros((len(self.most), self.n_blocks), np.float32)
+            for t, (ids, most) in enumerate(zip(self.block_ids, self.block_most)):
+                self.table[t, ids] = most
 
     def live_blocks(self, terms: list[int], least: float) -> list[int]:
         """Blocks whose largest impacts add up to `least` for the query."""
@@ -163,23 +171,40 @@ class Index:
             out.append(len(own & held[size]) / len(own) if own else 1.0)
         return out[0], out[1]
 
+    def hopeful(self, ids: np.ndarray) -> Iterator[tuple[int, int, list[int]]]:
+        """(start, end, distinct terms) of the passages that some block's bound lets through."""
+        none = len(self.most) - 1
+        n = max(1, -(-(len(ids) - PART) // PART))
+        for first in range(0, n, PASSAGES_AT_ONCE):
+            last = min(n, first + PASSAGES_AT_ONCE)
+            place = np.arange(first * PART, min(len(ids), (last + 1) * PART))
+            # A word lies in the passage that starts at its part and in the one before.
+            keys = np.concatenate([(place // PART - back) * len(self.most) + ids[place] for back in (0, 1)])
+            keys = np.unique(keys[(keys >= first * len(self.most)) & (keys < last * len(self.most))])
+            passages, terms = np.divmod(keys, len(self.most))
+            passages, terms = passages[terms != none], terms[terms != none]
+            cuts = np.flatnonzero(np.diff(passages, prepend=-1))
+            if not len(cuts):
+                continue
+            if self.table is not None:
+                live = (np.add.reduceat(self.table[terms], cuts).max(1) >= LEAST_SCORE - 1e-4).tolist()
+            else:
+                live = (np.add.reduceat(self.most[terms], cuts) >= LEAST_SCORE - 1e-9).tolist()
+            for hope, a, b in zip(live, cuts.tolist(), [*cuts[1:].tolist(), len(terms)]):
+                if hope:
+                    start = int(passages[a]) * PART
+                    yield start, min(len(ids), start + 2 * PART), terms[a:b].tolist()
+
     def matches(self, text: str | None) -> dict[int, tuple[float, float, float]]:
         """Item number: best score, question overlap, answer overlap, for a whole text."""
         words = words_of(text)
-        term, none = self.term, len(self.most) - 1
-        ids = np.array([term.get(w, none) for w in words], np.int64)
         best: dict[int, tuple[float, float, float]] = {}
-        if not len(ids):
+        if not words:
             return best
-        sums = np.concatenate(([0.0], np.cumsum(self.most[ids])))
-        starts = np.arange(0, max(1, len(ids) - PART), PART)
-        ends = np.minimum(starts + 2 * PART, len(ids))
-        hopeful = sums[ends] - sums[starts] >= LEAST_SCORE - 1e-9
-        for a, b in zip(starts[hopeful].tolist(), ends[hopeful].tolist()):
-            terms = np.unique(ids[a:b])
-            if self.most[terms].sum() < LEAST_SCORE - 1e-9:
-                continue
-            for part, score in self.search([t for t in terms.tolist() if t != none], LEAST_SCORE):
+        get, none = self.term.get, len(self.most) - 1
+        ids = np.array([get(w, none) for w in words], np.int64)
+        for a, b, terms in self.hopeful(ids):
+            for part, score in self.search(terms, LEAST_SCORE):
                 item = self.item_of[part]
                 span = len(self.items[item][1]) + len(self.items[item][2])
                 question, answer = self.overlaps(item, words[max(0, a - span) : b + span])
@@ -238,16 +263,21 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     return union_all(frames) if frames else docs.sparkSession.createDataFrame([], f"doc_id bigint, {kind}")
 
 
+def _clean(index):
+    """Column function: whether no item of a sent index is verified in a text."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not index.value.matches(t) for t in texts], dtype=bool)
+
+    return clean
+
+
 def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of `docs` in which no item is verified."""
     kept = packed(docs, "row")
     for index in indexes(items):
-        sent = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, sent=sent) -> pd.Series:
-            return pd.Series([not sent.value.matches(t) for t in texts], dtype=bool)
-
+        clean = _clean(docs.sparkSession.sparkContext.broadcast(index))
         kept = kept.where(clean(F.col(f"row.`{text_col}`").cast("string")))
     return unpacked(kept, "row", {}).select(*[F.col(f"`{c}`") for c in docs.columns])
 
