@@ -184,7 +184,9 @@ def verdicts(parts: DataFrame, text_col: str) -> DataFrame:
         .withColumn("best", F.when(F.col("texts") == 1, F.col("best")).otherwise(F.raise_error(F.lit("two texts have one SHA-256"))))
         .drop("texts")
     )
-    grouped = held.select("src", "pos", "own_id", "sha", "fp").join(groups, ["fp", "sha"])
+    # One row a part and group goes to the join, so a large group is no larger there than its parts.
+    members = held.groupBy("src", "fp", "sha").agg(F.collect_list(F.struct("pos", "own_id")).alias("members"))
+    grouped = members.join(groups, ["fp", "sha"]).select("src", "sha", "best", "group_size", F.inline("members"))
     kept = (F.col("best.src") == F.col("src")) & (F.col("best.pos") == F.col("pos"))
     return alone.unionByName(
         grouped.select("src", "pos", "own_id", "sha", F.col("best.id").alias("keep_id"), "group_size", kept.alias("kept"))
