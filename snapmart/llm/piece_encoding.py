@@ -34,9 +34,9 @@ from snapmart.llm.common import table
 
 SPACE = "▁"
 #: Parts and token pairs that a Python worker remembers; past that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 REMEMBERED_CHARS = 40
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_PAIRS = 500_000
 
 
 _tables: dict[int, PieceTable] = {}

@@ -40,8 +40,8 @@ LEAST_ROWS, LEAST_G, LEAST_ODDS = 4, 8.0, 4.0
 FOLDS = 4
 ROUNDS, RATE, DECAY = 300, 0.3, 1e-5
 LIMIT = 0.5
-#: Words that a worker remembers with their scores.
-REMEMBERED = 500_000
+#: Words that a task remembers with their scores.
+REMEMBERED = 200_000
 
 _TOKENS = re.compile(r"[^\W\d_]+|[^\w\s]{2,}")
 
@@ -193,7 +193,7 @@ def score(text: Column, chain: Chain, spark: SparkSession) -> Column:
     model = spark.sparkContext.broadcast(chain)
 
     @F.pandas_udf(", ".join(f"{n} double" for n in chain.names))
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         chain = model.value
         known: dict[str, int] = {}
         weights = [np.zeros(len(chain.names))]
@@ -205,18 +205,20 @@ def score(text: Column, chain: Chain, spark: SparkSession) -> Column:
                 weights.append(chain.weights[hits].sum(0))
             if len(known) >= REMEMBERED:
                 known.clear()
+                del weights[1:-1]
             known[token] = len(weights) - 1 if hits else 0
             return known[token]
 
-        sums = np.zeros((len(texts), len(chain.names)))
-        for k, text in enumerate(texts):
-            for token in set(tokens(text)):
-                at = known.get(token)
-                if at is None:
-                    at = weight_of(token)
-                if at:
-                    sums[k] += weights[at]
-        return pd.DataFrame(chain.probabilities(sums), columns=chain.names)
+        for texts in batches:
+            sums = np.zeros((len(texts), len(chain.names)))
+            for k, text in enumerate(texts):
+                for token in set(tokens(text)):
+                    at = known.get(token)
+                    if at is None:
+                        at = weight_of(token)
+                    if at:
+                        sums[k] += weights[at]
+            yield pd.DataFrame(chain.probabilities(sums), columns=chain.names)
 
     return run(text.cast("string"))
 
