@@ -6,8 +6,9 @@ Fingerprints: A-Z lowered, words cut at ASCII white space, XXH64 (seed 42) of ea
 Candidates: with a limit of t bits the fingerprint is cut into t + 1 segments on a ring. If two
 fingerprints differ in t bits at most, some segment starts a chain in which the first l
 segments differ in at most l * t / (t + 1) bits, for every l: none in the first, one in the
-first two, and so on. The first two budgets are join keys (a segment, and the next one with up
-to one bit turned over); the longer chains prune what the join finds before the full check.
+first two, and so on. The first two budgets are join keys: a segment, and the next one as it
+is or with one zero bit set, as one of two that differ in a bit has the zero. The longer chains
+prune what the join finds before the full check.
 
 Dense groups: only distinct fingerprints are linked. Where many share a key, they are linked
 to the key's most frequent fingerprint where near enough; pairs of which both are linked to it
@@ -22,8 +23,6 @@ are hashed in pieces of bounded size.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,11 +35,12 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
 #: Fingerprints with one key from which on they are linked through the most frequent one.
-DENSE_KEY = 50
+DENSE_KEY = 4
+#: Bytes of the table of crowded classes up to which it is broadcast.
+BROADCAST_BYTES = 16 << 20
 #: Shingles hashed at once: bounds the memory of long texts.
 SHINGLES_AT_ONCE = 1 << 16
 
-_WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -48,7 +48,8 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
     """Unsigned 64-bit SimHash."""
     import xxhash
 
-    words = _WORDS.findall((text or "").encode("utf-8", "surrogatepass").translate(_LOWER))
+    # On bytes, split() cuts at the six ASCII white space characters and at nothing else.
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return 0
     joined = b" ".join(words)
@@ -96,16 +97,16 @@ def _mask(segments: list[tuple[int, int]]) -> int:
 
 
 def _keys(fp: Column, bits: int, turned: bool) -> Column:
-    """Keys (ring position, segment, next segment); `turned` adds the next segment's one-bit neighbours."""
+    """Keys (ring position, segment, next segment); `turned` adds those with one more bit set in the next segment."""
     ring = _segments(bits)
     keys = []
     for k, segment in enumerate(ring):
         after = ring[(k + 1) % len(ring)]
-        first = F.shiftleft(_part(fp, segment), after[1])
-        for flip in [0] + [1 << b for b in range(after[1])] * turned:
-            second = _part(fp, after)
-            keys.append(F.struct(F.lit(k).alias("ring"), first.bitwiseOR(second.bitwiseXOR(F.lit(flip))).alias("part")))
-    return F.array(*keys)
+        first, second = F.shiftleft(_part(fp, segment), after[1]), _part(fp, after)
+        for bit in [0] + [1 << b for b in range(after[1])] * turned:
+            key = F.struct(F.lit(k).alias("ring"), first.bitwiseOR(second.bitwiseOR(F.lit(bit))).alias("part"))
+            keys.append(F.when(second.bitwiseAND(F.lit(bit)) == 0, key) if bit else key)
+    return F.filter(F.array(*keys), lambda key: key.isNotNull())
 
 
 def _near(a: str, b: str, bits: int) -> Column:
@@ -138,7 +139,7 @@ def links(prints: DataFrame, bits: int = MAX_BITS, dense: int = DENSE_KEY) -> Da
     base = base.drop("n").join(centres, ["ring", "part"], "left").withColumn("on", on_centre)
     probe = probe.join(centres, ["ring", "part"], "left").withColumn("on", on_centre)
     a, b = probe.select("ring", "part", F.col("fp").alias("a"), "on"), base.select("ring", "part", F.col("fp").alias("b"), "on")
-    # Off the centre on one side is enough; a pair meets under the probe of either of its two.
+    # Off the centre on one side is enough; a pair meets under the probe of one of its two at least.
     off = a.where("not on").drop("on").join(b.drop("on"), ["ring", "part"]).where(F.col("a") != F.col("b"))
     to_off = a.where("on").drop("on").join(b.where("not on").drop("on"), ["ring", "part"])
     pairs = off.unionByName(to_off).where(_near("a", "b", bits)).select("a", "b")
@@ -180,8 +181,12 @@ def first_of_each_class(
     labelled = distinct.join(classes, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     best = labelled.groupBy("label").agg(F.min("first").alias("best"), F.sum("n").alias("members"))
     # Only rows of classes with more than one member can go.
-    crowded = labelled.join(best.where("members > 1"), "label").select("fp", F.col("best.rid").alias("stays"))
-    kept = keyed.join(crowded, "fp", "left").where("stays is null or stays = rid")
+    crowded = written(
+        labelled.join(best.where("members > 1"), "label").select("fp", F.col("best.rid").alias("stays")), "simhash-crowded"
+    )
+    # Two longs a row: broadcast while that is small, else both sides are shuffled.
+    small = crowded.count() * 16 <= BROADCAST_BYTES
+    kept = keyed.join(F.broadcast(crowded) if small else crowded, "fp", "left").where("stays is null or stays = rid")
     return unpacked(kept, "row", {}).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
