@@ -467,6 +467,11 @@ SELECT user, band, count(*) AS n, CAST(sum(floor(a) * floor(b)) AS BIGINT) AS s
     value AS a FROM events) x
 JOIN (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user, CAST(hour(ts) % 2 AS INTEGER) AS band,
     value AS b FROM events WHERE event_id % 40 = 0) y USING (user, band) GROUP BY ALL""",
+    # Pairs of a key: their count and sum of products, from the key's own counts and sums.
+    "skewed_join_all_rows": """
+SELECT user, band, count(*) * count(*) AS n, CAST(sum(floor(value)) * sum(floor(value)) AS BIGINT) AS s FROM
+  (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user, CAST(hour(ts) AS INTEGER) AS band, value FROM events) x
+WHERE user IS NOT NULL AND band IS NOT NULL GROUP BY ALL""",
     "loan_cast": f"SELECT {doubles(LOAN_TYPES, LOAN_TYPES)} FROM typed_loans",
     "attributes_cast": f"SELECT Customer_ID, Name, {whole('Age')} AS Age, SSN, Occupation, "
     f"{iso('snapshot_date')} AS snapshot_date FROM raw_attributes",

@@ -557,6 +557,19 @@ def skewed_join(spark, sf_dir):
     return joined.groupBy("user", "band").agg(F.count("*").alias("n"), F.round(F.sum(F.floor("a") * F.floor("b")), 0).cast("bigint").alias("s"))
 
 
+@query
+def skewed_join_all_rows(spark, sf_dir):
+    """Every pair of a user's events within an hour of the day, over whole tables: one user holds a third."""
+    events = derived.table(spark, sf_dir, "events")
+    user = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("user")
+    band = F.hour("ts").alias("band")
+    one, other = events.select(user, band, F.col("value").alias("a")), events.select(user, band, F.col("value").alias("b"))
+    joined = balanced_join(one, other, ("user", "band"), "inner", rows_per_cell=16)
+    return joined.groupBy("user", "band").agg(
+        F.count("*").alias("n"), F.sum((F.floor("a") * F.floor("b")).cast("bigint")).alias("s")
+    )
+
+
 # Quality ------------------------------------------------------------------
 
 

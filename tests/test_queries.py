@@ -62,3 +62,11 @@ def test_common_dates_are_settled_before_the_plan(spark):
     df = QUERIES["gold_common_snapshots"](spark, SF)
     text = df._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan parquet") == 3
+
+
+def test_skewed_join_reads_all_rows_and_deals_them(spark, con):
+    df = QUERIES["skewed_join_all_rows"](spark, SF)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "event_id" not in text and "cell_left" in text and "cell_right" in text
+    per_key = "SELECT count(*) AS n FROM events GROUP BY CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END, hour(ts)"
+    assert sum(r.n for r in df.collect()) == con.execute(f"SELECT sum(n * n) FROM ({per_key})").fetchone()[0]
