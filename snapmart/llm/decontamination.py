@@ -12,12 +12,13 @@ item's question, and of its answer, must occur there. The answer is the last sen
 item, or the second half of the words of an item of one sentence; parts with fewer than five
 words count as one shingle.
 
-The index is built in blocks of items of bounded size, each sent to all tasks; statistics of
-words (how many parts hold them) cover all items. So a larger test set takes more passes over
-the documents, not more memory. Every document is read whole.
+The index is built in blocks of items of bounded size; statistics of words (how many parts hold
+them) cover all items. Blocks are built, sent to all tasks and dropped one after the other, and
+what each one finds is written. So a larger test set takes more passes over the documents, not
+more memory. Every document is read whole.
 
 Defined cases: null or empty texts and items without words match nothing; items with equal
-texts are each reported; an item is reported once a document with its best score; repeated rows
+texts are each reported, as are items without an id; an item is reported once a document with its best score; repeated rows
 are reported each; an empty table on either side gives no rows and drops no document.
 """
 
@@ -33,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import packed, table, union_all, unpacked
+from snapmart.llm.common import packed, table, union_all, unpacked, written
 
 K1, B = 1.2, 0.75
 #: Words of an indexed part at most; passages have twice as many and overlap by half.
@@ -213,31 +214,52 @@ class Index:
         return best
 
 
-def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[Index]:
-    """One index for each block of items of bounded size."""
-    own = items.select(F.col(id_col).alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+class Indexes:
+    """The indexes of all blocks of items, each built when it is asked for."""
+
+    def __init__(self, items: DataFrame, n_parts: int, mean_words: float, blocks: int):
+        self.items, self.n_parts, self.mean_words, self.blocks = items, n_parts, mean_words, blocks
+
+    def __len__(self) -> int:
+        return self.blocks
+
+    def __getitem__(self, block: int) -> Index:
+        if not 0 <= block < self.blocks:
+            raise IndexError(block)
+        some = self.items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(self.blocks)) == block)
+        found = [(r.item_id, r.text) for r in some.collect() if words_of(r.text)]
+        rows = sorted(found, key=lambda x: (x[1], x[0] is None, x[0]))
+        # Only the words of this block: their number is bounded by its size.
+        wanted = _terms(some).select("word").distinct()
+        held_by = _terms(self.items).groupBy("word").agg(F.count("*").alias("n"))
+        counts = {r.word: r.n for r in held_by.join(wanted, "word", "left_semi").collect()}
+        return Index(rows, counts, self.n_parts, self.mean_words)
+
+    def sent(self) -> Iterator:
+        """A broadcast of one index at a time, which is gone once the next one is asked for."""
+        for block in range(self.blocks):
+            index = self.items.sparkSession.sparkContext.broadcast(self[block])
+            yield index
+            index.destroy()
+
+
+def _terms(items: DataFrame) -> DataFrame:
+    """(word, place, words) of the distinct words of every part of the items."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [(w, n, len(p)) for text in batch["text"] for p in parts_of(words_of(text)) for n, w in enumerate(dict.fromkeys(p))]
             yield pd.DataFrame(rows, columns=["word", "place", "words"])
 
-    terms = own.select("text").mapInPandas(cut, "word string, place int, words int")
-    shape = terms.where("place = 0").agg(F.count("*").alias("parts"), F.avg("words").alias("mean")).first()
-    if not shape.parts:
-        return []
-    held_by = terms.groupBy("word").agg(F.count("*").alias("n"))
-    size = own.agg(F.sum(F.octet_length("text")).alias("size")).first().size
-    blocks = -(-size // INDEX_BYTES)
-    out = []
-    for block in range(blocks):
-        some = own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted((r.item_id, r.text) for r in some.collect() if words_of(r.text))
-        # Only the words of this block: their number is bounded by its size.
-        wanted = some.select("text").mapInPandas(cut, "word string, place int, words int").select("word").distinct()
-        counts = {r.word: r.n for r in held_by.join(wanted, "word", "left_semi").collect()}
-        out.append(Index(rows, counts, shape.parts, shape.mean))
-    return out
+    return items.select("text").mapInPandas(cut, "word string, place int, words int")
+
+
+def indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Indexes:
+    """One index for each block of items of bounded size."""
+    own = items.select(F.col(id_col).alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    shape = _terms(own).where("place = 0").agg(F.count("*").alias("parts"), F.avg("words").alias("mean")).first()
+    size = own.agg(F.sum(F.octet_length("text")).alias("size")).first().size if shape.parts else 0
+    return Indexes(own, shape.parts, shape.mean, -(-size // INDEX_BYTES))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,8 +280,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         narrow = docs.select(F.col(id_col).alias("doc_id"), search(F.col(text_col).cast("string")).alias("found"))
         return narrow.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
 
-    send = docs.sparkSession.sparkContext.broadcast
-    frames = [found(send(i)) for i in indexes(items)]
+    frames = [written(found(index), "contaminated") for index in indexes(items).sent()]
     return union_all(frames) if frames else docs.sparkSession.createDataFrame([], f"doc_id bigint, {kind}")
 
 
@@ -276,9 +297,16 @@ def _clean(index):
 def without_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of `docs` in which no item is verified."""
     kept = packed(docs, "row")
-    for index in indexes(items):
-        clean = _clean(docs.sparkSession.sparkContext.broadcast(index))
-        kept = kept.where(clean(F.col(f"row.`{text_col}`").cast("string")))
+    text = F.col(f"row.`{text_col}`").cast("string")
+    blocks = indexes(items)
+    if len(blocks) == 1:
+        kept = kept.where(_clean(docs.sparkSession.sparkContext.broadcast(blocks[0]))(text))
+    elif len(blocks):
+        # Whether an item is found depends on the text alone: each block leaves the hashes of such texts.
+        own = F.sha2(text, 256)
+        found = [written(kept.where(~_clean(index)(text)).select(own.alias("sha")), "dirty") for index in blocks.sent()]
+        dirty = union_all(found).distinct()
+        kept = kept.join(dirty, own == dirty["sha"], "left_anti")
     return unpacked(kept, "row", {}).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

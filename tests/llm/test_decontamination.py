@@ -106,3 +106,33 @@ def test_query(spark):
     items = [(r.item_id, " ".join(d.words_of(r.text))) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     whole = {(i, j) for i, t in docs for j, b in items if f" {b} " in f" {t} "}
     assert whole and whole <= got and len(got - whole) <= len(whole)
+
+
+def test_items_without_id(spark):
+    other = "Which of the small rivers in the north is said to run dry every year? It is the one that people there call the Lost Maid."
+    items = spark.createDataFrame([(None, ITEM), (1, ITEM), (None, ITEM), (None, other), (2, other)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"Before it. {ITEM} After it."), (2, "nothing of it"), (3, None)], "doc_id bigint, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in d.contaminated(docs, items).collect()), key=repr)
+    assert got == [(1, 1), (1, None), (1, None)]
+    assert {r.doc_id for r in d.without_contaminated(docs, items).collect()} == {2, 3}
+
+
+def test_one_block_is_held_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(d, "INDEX_BYTES", 60)
+    live, most = [], []
+    send = type(spark.sparkContext).broadcast
+
+    def counted(self, value):
+        sent = send(self, value)
+        live.append(sent)
+        most.append(len(live))
+        end = sent.destroy
+        monkeypatch.setattr(sent, "destroy", lambda *a: (live.remove(sent), end(*a)))
+        return sent
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", counted)
+    items = spark.createDataFrame([(k, ITEM.replace("Grey", name)) for k, name in enumerate(("Grey", "Red", "Blue"))], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, f"Before it. {ITEM}"), (1, f"Before it. {ITEM}"), (2, "nothing of it"), (2, "nothing of it"), (3, None)], "doc_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in d.contaminated(docs, items).collect()} >= {(1, 0)}
+    assert sorted(r.doc_id for r in d.without_contaminated(docs, items).collect()) == [2, 2, 3]
+    assert len(most) > 2 and set(most) == {1} and not live
