@@ -126,26 +126,32 @@ def latest_snapshot(spark, sf_dir):
 
 
 def monthly_files(raw: DataFrame, feed: feeds.Feed, folder: str) -> None:
-    """One CSV file for each snapshot, named as the feed's deliveries are, without that column.
+    """CSV files for each snapshot, named as the feed's deliveries are, without that column.
 
-    The first month has its columns in another order, the last one lacks the name.
+    The first month has its columns in another order, the last one lacks the name. A large
+    month has many files, the n-th ones of all months in the n-th subfolder.
     """
-    months = sorted(r[SNAPSHOT] for r in raw.select(SNAPSHOT).distinct().collect())
     spark = raw.sparkSession
-    store = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    for month in months:
-        kept = [c for c in raw.columns if c != SNAPSHOT]
-        if month == months[0]:
-            kept = kept[::-1]
-        elif month == months[-1]:
-            kept.remove("Name")
-        part = f"{folder}/parts-{month}"
-        rows = raw.filter(F.col(SNAPSHOT) == month).select(*kept)
-        rows.coalesce(1).write.option("header", True).csv(part)
-        names = [f.getPath() for f in store.listStatus(spark._jvm.org.apache.hadoop.fs.Path(part))]
-        written = next(n for n in names if n.getName().startswith("part-"))
-        name = f"bronze_{feed.stem}_{str(month).replace('-', '_')}.csv"
-        store.rename(written, spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+    first, last = (F.col(SNAPSHOT).eqNullSafe(d) for d in raw.agg(F.min(SNAPSHOT), F.max(SNAPSHOT)).first())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    columns = [c for c in raw.columns if c != SNAPSHOT]
+    # One job for each header, whatever the number of months.
+    headers = [
+        (first, columns[::-1]),
+        (~first & last, [c for c in columns if c != "Name"]),
+        (~first & ~last, columns),
+    ]
+    for kind, (months, kept) in enumerate(headers):
+        rows = raw.filter(months).select(*kept, SNAPSHOT).hint("rebalance", SNAPSHOT)
+        rows.write.partitionBy(SNAPSHOT).option("header", True).csv(f"{folder}/_written-{kind}")
+        for of_month in store.globStatus(path(f"{folder}/_written-{kind}/{SNAPSHOT}=*")) or []:
+            date = of_month.getPath().getName().partition("=")[2]
+            name = f"bronze_{feed.stem}_{date.replace('-', '_')}.csv"
+            for n, part in enumerate(store.globStatus(path(f"{of_month.getPath().toString()}/part-*"))):
+                store.mkdirs(path(f"{folder}/{n}"))
+                if not store.rename(part.getPath(), path(f"{folder}/{n}/{name}")):
+                    raise OSError(f"cannot rename {part.getPath().toString()}")
 
 
 @query
@@ -153,7 +159,7 @@ def date_from_filename(spark, sf_dir):
     """The file each row came from, and the date in its name."""
     folder = scratch_path(spark, "dated")
     monthly_files(derived.attributes(spark, sf_dir), ATTRIBUTES, folder)
-    rows = with_source_file(scan_csv(spark, folder, schema="c string", pattern="*.csv", enforce=True))
+    rows = with_source_file(scan_csv(spark, f"{folder}/[0-9]*", schema="c string", pattern="*.csv", enforce=True))
     counted = rows.groupBy("source_file").agg(F.count("*").alias("n"))
     return counted.select("source_file", "n", file_snapshot("source_file").alias(SNAPSHOT))
 
@@ -164,7 +170,7 @@ def silver_from_files(spark, sf_dir):
     folder = scratch_path(spark, "monthly")
     monthly_files(derived.attributes(spark, sf_dir), ATTRIBUTES, folder)
     mart = Mart(spark, scratch_path(spark, "monthly-mart"))
-    mart.build_silver_from_files(ATTRIBUTES, folder)
+    mart.build_silver_from_files(ATTRIBUTES, f"{folder}/[0-9]*")
     return mart.silver(ATTRIBUTES)
 
 

@@ -70,3 +70,24 @@ def test_skewed_join_reads_all_rows_and_deals_them(spark, con):
     assert "event_id" not in text and "cell_left" in text and "cell_right" in text
     per_key = "SELECT count(*) AS n FROM events GROUP BY CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END, hour(ts)"
     assert sum(r.n for r in df.collect()) == con.execute(f"SELECT sum(n * n) FROM ({per_key})").fetchone()[0]
+
+
+def test_large_month_is_written_by_many_tasks(spark, tmp_path):
+    from snapmart.feeds import ATTRIBUTES
+    from snapmart.plans.queries import monthly_files
+    from snapmart.sources.files import scan_feed_files
+
+    dates = "CASE id % 100 WHEN 0 THEN '2023-01-01' WHEN 1 THEN '2023-03-01' ELSE '2023-02-01' END AS snapshot_date"
+    raw = spark.range(0, 40_000, 1, 8).selectExpr("sha2(string(id), 256) AS Customer_ID", "string(id) AS Name", "'7' AS Age", dates)
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        monthly_files(raw, ATTRIBUTES, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    assert len(list(tmp_path.rglob("bronze_*_2023_02_01.csv"))) > 2
+    got = scan_feed_files(spark, f"{tmp_path}/[0-9]*", ATTRIBUTES)
+    counts = {str(r.snapshot_date): (r.n, r.ids, r.named) for r in got.groupBy("snapshot_date").agg({"*": "count"}).withColumnRenamed("count(1)", "n")
+              .join(got.selectExpr("snapshot_date", "Customer_ID", "Name").groupBy("snapshot_date").agg({"Customer_ID": "count", "Name": "count"})
+              .withColumnsRenamed({"count(Customer_ID)": "ids", "count(Name)": "named"}), "snapshot_date").collect()}
+    assert counts == {"2023-01-01": (400, 400, 400), "2023-02-01": (39_200, 39_200, 39_200), "2023-03-01": (400, 400, 0)}
