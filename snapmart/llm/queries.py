@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from snapmart.llm import exact_dedup
+from snapmart.llm import exact_dedup, fill_in_middle
 from snapmart.llm.decontamination import op4_decontamination
 from snapmart.llm.exact_dedup import op7_exact_dedup
+from snapmart.llm.fill_in_middle import op11_fill_in_middle
 from snapmart.llm.html_wrappers import op6_html
 from snapmart.llm.pii import op3_pii
 from snapmart.llm.piece_encoding import op10_sentencepiece
@@ -25,6 +26,10 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_url_filter": op9_url_filter,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
-ORACLE = {"op7_exact_dedup": exact_dedup.SQL}
+ORACLE = {
+    "op7_exact_dedup": exact_dedup.SQL,
+    "op11_fill_in_middle": fill_in_middle.SQL,
+}
