@@ -33,10 +33,11 @@ def file_snapshot(name: str, *, required: bool = True) -> Column:
     return F.coalesce(date, problem.cast("date"))
 
 
-def among(name: str, dates: list[dt.date], *, text: bool = False) -> Column:
-    """True for the given dates; ``text`` compares ISO strings."""
-    literals = ", ".join(f"{'' if text else 'DATE'}'{date}'" for date in dates)
-    return F.expr(f"`{name}` IN ({literals})") if dates else F.lit(False)
+def among(name: str, dates: list[dt.date | None], *, text: bool = False) -> Column:
+    """True for the given dates, with None for rows without one; ``text`` compares ISO strings."""
+    literals = ", ".join(f"{'' if text else 'DATE'}'{date}'" for date in dates if date is not None)
+    chosen = F.expr(f"`{name}` IN ({literals})") if literals else F.lit(False)
+    return chosen | F.col(name).isNull() if None in dates else chosen
 
 
 def month_starts(start: Column, end: Column) -> Column:

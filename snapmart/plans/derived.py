@@ -42,8 +42,17 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _attributes(table(spark, sf_dir, "customer"))
+
+
+def attributes_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of nine in ten customers, for the joins: the others have financials but no match."""
+    return _attributes(table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 3"))
+
+
+def _attributes(customers: DataFrame) -> DataFrame:
     return _project(
-        table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 3"),
+        customers,
         {
             "Customer_ID": "concat('CUS_', c_custkey)",
             "Name": "c_name",

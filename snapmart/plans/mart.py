@@ -10,21 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..feeds import ATTRIBUTES, CLICKSTREAM, FEEDS, FINANCIALS, LOANS, SNAPSHOT, Feed
+from ..functions.dates import iso_date
+from ..operators import profiles
 from ..operators.features import (
-    collect_vocabulary,
     feature_schema,
     feature_table,
     fill_flags,
+    loan_types_by_snapshot,
     matched_feature_table,
 )
 from ..operators.labels import label_table
 from ..operators.silver import conform, with_arrears
 from ..sources.files import scan_csv, scan_feed_files, slice_snapshots
+from ..sources.states import refresh, states
 from ..sources.tables import (
     ALL,
+    Manifest,
     NoSnapshots,
     drop_snapshots,
-    exists,
+    manifest,
     optional_snapshots,
     partition_folders,
     read_snapshots,
@@ -36,6 +40,23 @@ LABELS = "label_store"
 FEATURES = "feature_store"
 MATCHED_FEATURES = "feature_store_matched"
 LOAN_TYPES = "loan_types"
+PROFILES = "profiles"
+DISTINCT = "distinct_values"
+
+
+def fingerprints(raw: DataFrame) -> dict[dt.date | None, str]:
+    """Rows and sums of row hashes of every snapshot: one aggregate, one row a snapshot comes to the driver.
+
+    Two hashes with unlike seeds are summed, so the order of rows does not matter and repeats count.
+    """
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]), {"ignoreNullFields": "false"})
+    exact = "decimal(38,0)"
+    found = raw.groupBy(F.col(SNAPSHOT).cast("date").alias(SNAPSHOT)).agg(
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64(row).cast(exact)).cast("string").alias("a"),
+        F.sum(F.xxhash64(F.lit(SNAPSHOT), row).cast(exact)).cast("string").alias("b"),
+    )
+    return {r[SNAPSHOT]: f"{r.n}:{r.a}:{r.b}" for r in found.collect()}
 
 
 def _together(build, *arguments) -> list:
@@ -86,20 +107,54 @@ class Mart:
 
     # Bronze: raw text, sliced by snapshot.
 
-    def ingest(self, feed: Feed, raw: DataFrame | str, dates: list[dt.date]) -> int:
-        """Store the rows of the given snapshots; one scan of the source for all dates."""
+    def ingest(
+        self, feed: Feed, raw: DataFrame | str, dates: list[dt.date] | None, *, only_changed: bool = False
+    ) -> int:
+        """Store the rows of the given snapshots, or of all; one scan of the source for all dates.
+
+        ``only_changed`` first takes a fingerprint of every snapshot of the source and writes
+        those alone whose fingerprint is another one than at the last such ingest.
+        """
         if isinstance(raw, str):
             raw = scan_csv(self.spark, raw)
-        rows = slice_snapshots(raw, dates)
-        return write_snapshots(rows, self.path("bronze", feed.table), fmt=self.bronze_format, dates=dates)
+        path = self.path("bronze", feed.table)
+        if dates is None and dict(raw.dtypes)[SNAPSHOT] == "string":
+            raw = raw.withColumn(SNAPSHOT, iso_date(SNAPSHOT))
+        rows = raw if dates is None else slice_snapshots(raw, dates)
+        if not only_changed:
+            return write_snapshots(rows, path, fmt=self.bronze_format, dates=ALL if dates is None else dates)
+        prints = fingerprints(rows)
+        known = manifest(self.spark, path) or Manifest()
+        covered = set(known.versions) if dates is None else set(dates)
+        changed = {d for d, p in prints.items() if known.sources.get(d) != p}
+        gone = {d for d in covered & set(known.versions) if d not in prints}
+        if not changed:
+            drop_snapshots(self.spark, path, gone)
+            return 0
+        kept = {d: p for d, p in known.sources.items() if d not in gone}
+        return write_snapshots(
+            slice_snapshots(raw, sorted(changed, key=str)),
+            path,
+            fmt=self.bronze_format,
+            dates=changed | gone,
+            sources=kept | {d: prints[d] for d in changed},
+        )
 
     def backfill(
-        self, feeds: list[Feed], sources: list[DataFrame | str], dates: list[dt.date]
+        self,
+        feeds: list[Feed],
+        sources: list[DataFrame | str],
+        dates: list[dt.date],
+        *,
+        only_changed: bool = False,
     ) -> Slices:
-        """Ingest every feed for every date; returns each slice by (table, date)."""
+        """Ingest every feed for every date; returns each slice by (table, date).
+
+        With ``only_changed`` a second backfill writes only slices whose rows changed.
+        """
         if len(feeds) != len(sources):
             raise ValueError(f"{len(feeds)} feeds but {len(sources)} sources")
-        _together(lambda feed, source: self.ingest(feed, source, dates), feeds, sources)
+        _together(lambda feed, source: self.ingest(feed, source, dates, only_changed=only_changed), feeds, sources)
         return Slices({feed.table: self.bronze(feed) for feed in feeds}, dates)
 
     def bronze(self, feed: Feed, dates: list | None = None) -> DataFrame:
@@ -158,35 +213,62 @@ class Mart:
         return empty
 
     def vocabulary(self) -> list[str]:
-        """Loan types of all feature tables built so far; empty before the first."""
-        path = self.path("gold", LOAN_TYPES)
-        if not exists(self.spark, path):
-            return []
-        return sorted({row.loan for row in self.spark.read.schema("loan string").parquet(path).collect()})
+        """Loan types of all silver snapshots that a feature build has seen; empty before the first."""
+        kept = states(self.spark, self.path("gold", LOAN_TYPES), f"loan string, {SNAPSHOT} date")
+        return sorted(row.loan for row in kept.select("loan").distinct().collect())
+
+    def refresh_vocabulary(self) -> list:
+        """Take up the loan types of new and rewritten silver snapshots; returns these snapshots."""
+        return refresh(
+            self.spark, self.path("silver", FINANCIALS.table), self.path("gold", LOAN_TYPES), loan_types_by_snapshot
+        )
 
     def build_features(self, dates: list | None = None) -> int:
         """All financial rows; attributes and clicks may be absent.
 
-        The vocabulary spans every snapshot and only grows. A month keeps the flags it
-        was built with; ``gold`` reads those of later types as 0.
+        The vocabulary spans every silver snapshot. It is kept by snapshot, so a build for one
+        month reads the loan lists of snapshots that were written since the last build, not those
+        of the history. A month keeps the flags it was built with; ``gold`` reads those of later
+        types as 0.
         """
         path = self.path("gold", FEATURES)
         if self._without_source(FINANCIALS, path, dates):
             return 0
-        known = self.vocabulary()
-        vocabulary = sorted({*known, *collect_vocabulary(self.silver(FINANCIALS))})
-        new = [(loan,) for loan in vocabulary if loan not in known]
-        if new:
-            added = self.spark.createDataFrame(new, "loan string").coalesce(1)
-            added.write.mode("append").parquet(self.path("gold", LOAN_TYPES))
+        self.refresh_vocabulary()
         rows = feature_table(
             self.silver(FINANCIALS, dates),
             self.silver_or_empty(ATTRIBUTES, dates),
             self.silver_or_empty(CLICKSTREAM, dates),
-            vocabulary=vocabulary,
+            vocabulary=self.vocabulary(),
         )
         return write_snapshots(rows, path, dates=ALL if dates is None else dates)
 
+    # Profiles: states by snapshot, merged on demand.
+
+    def refresh_profiles(self, feed: Feed, exact: tuple[str, ...] = ()) -> list:
+        """Profile the new and rewritten silver snapshots of a feed; returns these snapshots.
+
+        Distinct values are kept for the ``exact`` columns, sketches for all.
+        """
+        source = self.path("silver", feed.table)
+        done = refresh(self.spark, source, self.path(PROFILES, feed.table), profiles.column_states)
+        if exact:
+            refresh(
+                self.spark,
+                source,
+                self.path(DISTINCT, f"{feed.table}-{'-'.join(sorted(exact))}"),
+                lambda rows: profiles.distinct_states(rows, sorted(exact)),
+            )
+        return done
+
+    def profile_states(self, feed: Feed) -> DataFrame:
+        return states(self.spark, self.path(PROFILES, feed.table), profiles.STATE_SCHEMA)
+
+    def distinct_states(self, feed: Feed, exact: tuple[str, ...]) -> DataFrame:
+        return states(
+            self.spark, self.path(DISTINCT, f"{feed.table}-{'-'.join(sorted(exact))}"), profiles.VALUE_SCHEMA
+        )
+
     def build_matched_features(self) -> int:
         """Customers in attributes and financials, for snapshots all three tables have.
 
@@ -214,9 +296,12 @@ class Mart:
         return fill_flags(rows, vocabulary) if vocabulary else rows
 
     def run(
-        self, sources: dict[str, DataFrame | str], dates: list[dt.date], *, dpd: int = 30, mob: int = 6
+        self, sources: dict[str, DataFrame | str], dates: list[dt.date] | None, *, dpd: int = 30, mob: int = 6
     ) -> dict[str, int]:
-        """Build every table from the sources; returns rows written per table."""
+        """Build every table from the sources, for the given snapshots or for all that they hold.
+
+        Returns rows written per table.
+        """
         feeds = [FEEDS[name] for name in sources]
 
         def clean(feed: Feed, source: DataFrame | str) -> tuple[int, int]:

@@ -68,6 +68,7 @@ ATTRIBUTE_COLUMNS = ("Customer_ID", "Name", "Age", "SSN", "Occupation", "snapsho
 ARREARS = ("mob", "installments_missed", "first_missed_date", "dpd")
 FINANCIAL_COLUMNS = tuple(FINANCIAL_TYPES)
 INT_FINANCIALS = tuple(c for c, t in FINANCIAL_TYPES.items() if t == "int")
+EXACT_COLUMNS = ("Type_of_Loan", "Interest_Rate", "Annual_Income")
 VOCABULARY = ("Auto Loan", "Credit-Builder Loan", "Not Specified", "Payday Loan", "Student Loan")
 
 
@@ -165,7 +166,7 @@ SELECT 'CUS_' || c_custkey AS Customer_ID, c_name AS Name,
     || '-' || lpad(CAST(c_custkey % 450 AS VARCHAR), 4, '0') END AS SSN,
   CASE WHEN c_custkey % 9 = 0 THEN '_______' ELSE c_mktsegment END AS Occupation,
   CASE WHEN c_custkey % 13 = 0 THEN '2024-02-01' ELSE '2024-01-01' END AS snapshot_date
-FROM customer WHERE c_custkey % 10 <> 3"""
+FROM customer"""
 
 _K = "c_custkey"
 _RAW_FINANCIALS = {
@@ -256,6 +257,8 @@ CTE["attributes"] = (
     f"SELECT Customer_ID, Name, {limit('Age', *AGE_RANGE)} AS Age, {allow('SSN', SSN_PATTERN)} AS SSN, "
     f"{allow('Occupation', OCCUPATION_PATTERN)} AS Occupation, snapshot_date FROM draft_attributes"
 )
+# For the joins: a tenth of the customers has no attributes.
+CTE["joined_attributes"] = "SELECT * FROM attributes WHERE CAST(substr(Customer_ID, 5) AS BIGINT) % 10 <> 3"
 
 
 def _typed_financials(money: str | None, *, rules: bool) -> str:
@@ -315,13 +318,13 @@ def _matched(where: str = "") -> str:
 SELECT {fin}, a.Name, a.Age, a.SSN, a.Occupation, {means},
   {RATIO.replace("Annual", "f.Annual").replace("Outstanding", "f.Outstanding")} AS Debt_to_Income_Ratio,
   {SAVINGS} AS Monthly_Savings
-FROM attributes a
+FROM joined_attributes a
 JOIN financials f ON f.Customer_ID = a.Customer_ID AND f.snapshot_date = a.snapshot_date
 LEFT JOIN click_means c ON f.Customer_ID = c.Customer_ID AND f.snapshot_date = c.snapshot_date
 {where}"""
 
 
-CTE["features"] = _features("attributes", "click_means")
+CTE["features"] = _features("joined_attributes", "click_means")
 CTE["common"] = """
 SELECT snapshot_date FROM attributes INTERSECT SELECT snapshot_date FROM financials
 INTERSECT SELECT snapshot_date FROM clicks"""
@@ -437,6 +440,17 @@ LEFT JOIN orders ON CAST(date_trunc('month', o_orderdate) AS DATE) = m.snapshot_
         },
         date="CAST(snapshot_date AS DATE) AS snapshot_date, ",
     ),
+    "backfill_changed": "SELECT domain, snapshot_date, n, domain = 'financials' AND snapshot_date = "
+    "(SELECT CAST(snapshot_date AS DATE) FROM raw_financials WHERE Customer_ID = 'CUS_13') AS rewritten FROM ("
+    + _domain_counts(
+        {"attributes": "raw_attributes", "financials": "raw_financials"},
+        date="CAST(snapshot_date AS DATE) AS snapshot_date, ",
+    )
+    + ")",
+    "load_failures": """
+SELECT 'data' AS file, 'read' AS outcome, count(*) AS n, count(*) AS rows_read, CAST(sum(c_custkey) AS BIGINT) AS key_sum FROM customer
+UNION ALL SELECT file, outcome, 0, NULL, NULL FROM (VALUES ('bad-empty.csv', 'empty'), ('bad-header-only.csv', 'no rows'),
+  ('bad-other-header.csv', 'other header'), ('bad-cut.csv.gz', 'broken')) t(file, outcome)""",
     "mart_build": _domain_counts(
         {
             "silver/loan_daily": "loans",
@@ -461,16 +475,14 @@ LEFT JOIN orders ON CAST(date_trunc('month', o_orderdate) AS DATE) = m.snapshot_
     f"coalesce({history('Credit_History_Age')}, 0) AS Credit_History_Months FROM financials "
     "WHERE NOT coalesce(Type_of_Loan LIKE '%Student Loan%' AND snapshot_date <> DATE '2024-02-01', FALSE)",
     "matched_build": _matched("WHERE f.snapshot_date IN (SELECT snapshot_date FROM common)"),
-    "skewed_join": """
-SELECT user, band, count(*) AS n, CAST(sum(floor(a) * floor(b)) AS BIGINT) AS s FROM
-  (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user, CAST(hour(ts) % 2 AS INTEGER) AS band,
-    value AS a FROM events) x
-JOIN (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user, CAST(hour(ts) % 2 AS INTEGER) AS band,
-    value AS b FROM events WHERE event_id % 40 = 0) y USING (user, band) GROUP BY ALL""",
     # Pairs of a key: their count and sum of products, from the key's own counts and sums.
     "skewed_join_all_rows": """
 SELECT user, band, count(*) * count(*) AS n, CAST(sum(floor(value)) * sum(floor(value)) AS BIGINT) AS s FROM
   (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user, CAST(hour(ts) AS INTEGER) AS band, value FROM events) x
+WHERE user IS NOT NULL AND band IS NOT NULL GROUP BY ALL""",
+    "skewed_join": """
+SELECT user, band, count(*) * count(*) AS n, CAST(sum(floor(value)) * sum(floor(value)) AS BIGINT) AS s FROM
+  (SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user, CAST(hour(ts) % 2 AS INTEGER) AS band, value FROM events) x
 WHERE user IS NOT NULL AND band IS NOT NULL GROUP BY ALL""",
     "loan_cast": f"SELECT {doubles(LOAN_TYPES, LOAN_TYPES)} FROM typed_loans",
     "attributes_cast": f"SELECT Customer_ID, Name, {whole('Age')} AS Age, SSN, Occupation, "
@@ -554,6 +566,20 @@ WHERE user IS NOT NULL AND band IS NOT NULL GROUP BY ALL""",
         "typed_faulty_clicks",
     ),
     "profile_table": long_form({c: _profile(c) for c in FINANCIAL_COLUMNS}, "financials"),
+    "profile_accumulated": long_form(
+        {
+            c: _profile(c)
+            + ", count(*) AS row_count, "
+            + (f"count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" if c in EXACT_COLUMNS else "CAST(NULL AS BIGINT)")
+            + " AS distinct_values"
+            for c in FINANCIAL_COLUMNS
+            if c != "snapshot_date"
+        },
+        "financials",
+    ),
+    "describe_accumulated": long_form(
+        {c: _stats(c) for c, t in FINANCIAL_TYPES.items() if t in ("int", "float")}, "financials"
+    ),
     "describe_numeric": long_form({"Age": _stats("Age")}, "draft_attributes")
     + " UNION ALL "
     + long_form({c: _stats(c) for c in CLICK_FEATURES}, "clicks"),

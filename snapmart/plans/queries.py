@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,14 +23,22 @@ from ..feeds import (
     SNAPSHOT,
 )
 from ..functions import credit
-from ..functions.dates import file_snapshot, month_list, month_starts
+from ..functions.dates import file_snapshot, month_starts
 from ..functions.numbers import outside, whole_number, zero_outside
 from ..functions.text import keep_only, null_unless
-from ..operators import features, labels, quality
+from ..operators import features, labels, profiles, quality
 from ..operators.joins import balanced_join, rows_with_repeated_key
 from ..operators.silver import conform, with_arrears
 from ..sources import tables
-from ..sources.files import CORRUPT, scan_csv, scan_feed_files, slice_snapshots, with_source_file
+from ..sources.files import (
+    CORRUPT,
+    good_rows,
+    load_report,
+    scan_csv,
+    scan_feed_files,
+    slice_snapshots,
+    with_source_file,
+)
 from . import derived
 from .mart import FEATURES, LABELS, MATCHED_FEATURES, Mart
 from .workdir import scratch_path
@@ -42,6 +51,8 @@ ONE_SNAPSHOT = dt.date(1998, 6, 1)
 LATE_MOB = 7
 LOST_MONTH = dt.date(2024, 2, 1)
 LATE_LOAN = "Student Loan"
+CHANGED_CUSTOMER = "CUS_13"
+EXACT_COLUMNS = ("Type_of_Loan", "Interest_Rate", "Annual_Income")
 
 QUERIES: dict = {}
 
@@ -69,6 +80,11 @@ def attributes(spark, sf_dir):
     return conform(derived.attributes(spark, sf_dir), ATTRIBUTES)
 
 
+def attributes_with_gaps(spark, sf_dir):
+    """For joins: a tenth of the customers has no attributes."""
+    return conform(derived.attributes_with_gaps(spark, sf_dir), ATTRIBUTES)
+
+
 def financials(spark, sf_dir):
     return conform(derived.financials(spark, sf_dir), FINANCIALS)
 
@@ -87,10 +103,9 @@ def staged_loans(spark: SparkSession, sf_dir: str, *, gold: bool = False) -> Mar
 
 
 def months_of(*raws: DataFrame) -> list[dt.date]:
-    """All months from the first to the last snapshot of the raw feeds."""
+    """The snapshots that the raw feeds hold."""
     found = tables.union_frames(*[r.select(F.col(SNAPSHOT).cast("date").alias(SNAPSHOT)) for r in raws])
-    bounds = found.agg(F.min(SNAPSHOT).alias("start"), F.max(SNAPSHOT).alias("end")).first()
-    return month_list(found.sparkSession, str(bounds.start), str(bounds.end)) if bounds.start else []
+    return sorted(r[SNAPSHOT] for r in tables.snapshot_dates(found).collect() if r[SNAPSHOT])
 
 
 # Scans --------------------------------------------------------------------
@@ -108,8 +123,10 @@ def scan_all_snapshots(spark, sf_dir):
 
 @query
 def preview_snapshot(spark, sf_dir):
-    newest = tables.latest_snapshot(financials(spark, sf_dir))
-    return comparable(tables.preview(newest, ["Customer_ID"], 5))
+    """A look at the newest snapshot that reads one of its files."""
+    mart = Mart(spark, scratch_path(spark, "preview"))
+    mart.build_silver(FINANCIALS, derived.financials(spark, sf_dir))
+    return comparable(tables.preview_file(spark, mart.path("silver", FINANCIALS.table), ["Customer_ID"], 5))
 
 
 @query
@@ -193,6 +210,38 @@ def tolerant_csv_scan(spark, sf_dir):
     return rows.select("Customer_ID", "Age", F.col(CORRUPT).alias("corrupt"))
 
 
+def _put(spark, path: str, content: bytes) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
+@query
+def load_failures(spark, sf_dir):
+    """A folder of many good files and some bad ones: outcome of every bad file by name, and all good rows."""
+    folder = scratch_path(spark, "failures")
+    columns = ["c_custkey", "c_name", "c_mktsegment"]
+    raw = derived.table(spark, sf_dir, "customer").select(*columns)
+    raw.repartition(12).write.option("header", True).csv(folder)
+    header = ",".join(columns).encode()
+    line = b"\n1,Nobody,NONE\n"
+    _put(spark, f"{folder}/bad-empty.csv", b"")
+    _put(spark, f"{folder}/bad-header-only.csv", header + b"\n")
+    _put(spark, f"{folder}/bad-other-header.csv", b"c_name,c_custkey,c_mktsegment" + line)
+    _put(spark, f"{folder}/bad-cut.csv.gz", gzip.compress(header + line * 5000)[:-40])
+    report = load_report(spark, folder, columns)
+    rows = good_rows(spark, folder, columns, report)
+    name = F.element_at(F.split("path", "/"), -1)
+    label = F.when(name.startswith("bad-"), name).otherwise("data").alias("file")
+    found = rows.select(F.lit("data").alias("file"), "c_custkey").groupBy("file").agg(
+        F.count("*").alias("rows_read"), F.sum(F.col("c_custkey").cast("bigint")).alias("key_sum")
+    )
+    return report.groupBy(label, "outcome").agg(F.sum("n").alias("n")).join(found, "file", "left")
+
+
 @query
 def multi_file_scan(spark, sf_dir):
     path = scratch_path(spark, "csv")
@@ -244,6 +293,26 @@ def bronze_backfill(spark, sf_dir):
     return counts.filter(F.col("level") == 0).drop("level")
 
 
+@query
+def backfill_changed(spark, sf_dir):
+    """A second backfill after the rows of one customer changed: which slices are written again."""
+    mart = Mart(spark, scratch_path(spark, "changed"))
+    kinds = [ATTRIBUTES, FINANCIALS]
+    sources = [derived.attributes(spark, sf_dir), derived.financials(spark, sf_dir)]
+    months = months_of(*sources)
+    mart.backfill(kinds, sources, months, only_changed=True)
+    before = {f.table: tables.live_versions(spark, mart.path("bronze", f.table)) for f in kinds}
+    income = F.when(F.col("Customer_ID") == CHANGED_CUSTOMER, "1").otherwise(F.col("Annual_Income"))
+    mart.backfill(kinds, [sources[0], sources[1].withColumn("Annual_Income", income)], months, only_changed=True)
+    rewritten = [
+        (table, date, version != before[table][date])
+        for table in before
+        for date, version in tables.live_versions(spark, mart.path("bronze", table)).items()
+    ]
+    counts = quality.rows_by_domain({f.table: mart.bronze(f) for f in kinds}).filter("level = 0").drop("level")
+    return counts.join(spark.createDataFrame(rewritten, f"domain string, {SNAPSHOT} date, rewritten boolean"), ["domain", SNAPSHOT])
+
+
 def _table_counts(mart: Mart, gold: tuple[str, ...], cleaned: list) -> DataFrame:
     built = {f"silver/{feed.table}": mart.silver(feed) for feed in cleaned}
     built |= {f"gold/{name}": mart.gold(name) for name in gold}
@@ -255,7 +324,7 @@ def _table_counts(mart: Mart, gold: tuple[str, ...], cleaned: list) -> DataFrame
 def mart_build(spark, sf_dir):
     mart = Mart(spark, scratch_path(spark, "mart"))
     sources = {name: raw(spark, sf_dir) for name, raw in derived.RAW.items()}
-    mart.run(sources, months_of(*sources.values()), dpd=DPD, mob=MOB)
+    mart.run(sources, None, dpd=DPD, mob=MOB)
     return _table_counts(mart, (LABELS, FEATURES), list(FEEDS.values()))
 
 
@@ -295,8 +364,8 @@ def gold_incremental(spark, sf_dir):
 def matched_build(spark, sf_dir):
     """The written table of matched features, for the snapshots that all feeds have."""
     mart = Mart(spark, scratch_path(spark, "matched"))
-    for feed in (ATTRIBUTES, FINANCIALS, CLICKSTREAM):
-        mart.build_silver(feed, derived.RAW[feed.table](spark, sf_dir))
+    for feed, raw in zip((ATTRIBUTES, FINANCIALS, CLICKSTREAM), _joined_feeds(spark, sf_dir)):
+        mart.build_silver(feed, raw)
     mart.build_matched_features()
     return _comparable_features(mart.gold(MATCHED_FEATURES))
 
@@ -499,6 +568,10 @@ def monthly_savings(spark, sf_dir):
     return comparable(rows.select(*FEATURE_KEYS, "Monthly_Savings"))
 
 
+def _joined_feeds(spark, sf_dir) -> list[DataFrame]:
+    return [raw(spark, sf_dir) for raw in (derived.attributes_with_gaps, derived.financials, derived.clickstream)]
+
+
 def _comparable_features(df: DataFrame) -> DataFrame:
     return comparable(df, *CLICK_FEATURES, "Debt_to_Income_Ratio")
 
@@ -507,7 +580,7 @@ def _comparable_features(df: DataFrame) -> DataFrame:
 def gold_features(spark, sf_dir):
     return _comparable_features(
         features.feature_table(
-            financials(spark, sf_dir), attributes(spark, sf_dir), clicks(spark, sf_dir)
+            financials(spark, sf_dir), attributes_with_gaps(spark, sf_dir), clicks(spark, sf_dir)
         )
     )
 
@@ -526,7 +599,7 @@ def gold_optional_missing(spark, sf_dir):
 def gold_features_inner(spark, sf_dir):
     return _comparable_features(
         features.matched_feature_table(
-            attributes(spark, sf_dir), financials(spark, sf_dir), clicks(spark, sf_dir)
+            attributes_with_gaps(spark, sf_dir), financials(spark, sf_dir), clicks(spark, sf_dir)
         )
     )
 
@@ -541,7 +614,7 @@ def common_snapshots(spark, sf_dir):
 @query
 def gold_common_snapshots(spark, sf_dir):
     """Common dates are settled once, from the date columns alone, and then filter all three feeds."""
-    raws = [raw(spark, sf_dir) for raw in (derived.attributes, derived.financials, derived.clickstream)]
+    raws = _joined_feeds(spark, sf_dir)
     cleaned = [conform(r, f) for r, f in zip(raws, (ATTRIBUTES, FINANCIALS, CLICKSTREAM))]
     dates = [r[SNAPSHOT] for r in tables.common_snapshots(*cleaned).collect()]
     kept = [slice_snapshots(r, dates) for r in raws]
@@ -552,15 +625,15 @@ def gold_common_snapshots(spark, sf_dir):
 
 @query
 def skewed_join(spark, sf_dir):
-    """Every pair of a user's events within an hour band: a few users hold many."""
+    """Every pair of a user's events in odd or in even hours, over whole tables: one user holds a third."""
     events = derived.table(spark, sf_dir, "events")
+    user = F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("user")
     band = (F.hour("ts") % 2).alias("band")
-    one = events.select(F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("user"), band, F.col("value").alias("a"))
-    other = events.filter("event_id % 40 = 0").select(
-        F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("user"), band, F.col("value").alias("b")
-    )
+    one, other = events.select(user, band, F.col("value").alias("a")), events.select(user, band, F.col("value").alias("b"))
     joined = balanced_join(one, other, ("user", "band"), "inner", rows_per_cell=500)
-    return joined.groupBy("user", "band").agg(F.count("*").alias("n"), F.round(F.sum(F.floor("a") * F.floor("b")), 0).cast("bigint").alias("s"))
+    return joined.groupBy("user", "band").agg(
+        F.count("*").alias("n"), F.sum((F.floor("a") * F.floor("b")).cast("bigint")).alias("s")
+    )
 
 
 @query
@@ -624,6 +697,32 @@ def profile_table(spark, sf_dir):
     return comparable(quality.profile(financials(spark, sf_dir)), "pct_missing")
 
 
+def _profiled_by_month(spark, sf_dir) -> Mart:
+    """Financials that arrive month by month, each month profiled when it comes."""
+    mart = Mart(spark, scratch_path(spark, "profiled"))
+    raw = derived.financials(spark, sf_dir)
+    for month in months_of(raw):
+        mart.build_silver(FINANCIALS, slice_snapshots(raw, [month]))
+        mart.refresh_profiles(FINANCIALS, EXACT_COLUMNS)
+    return mart
+
+
+@query
+def profile_accumulated(spark, sf_dir):
+    """The profile of all months, merged from states that were made a month at a time."""
+    mart = _profiled_by_month(spark, sf_dir)
+    merged = profiles.merged_profile(mart.profile_states(FINANCIALS)).drop("distinct_estimate")
+    exact = profiles.merged_distinct(mart.distinct_states(FINANCIALS, EXACT_COLUMNS))
+    return comparable(merged.join(exact, "column_name", "left"), "pct_missing")
+
+
+@query
+def describe_accumulated(spark, sf_dir):
+    """Moments and extremes of all months, merged from the states of single ones."""
+    mart = _profiled_by_month(spark, sf_dir)
+    return comparable(profiles.merged_moments(mart.profile_states(FINANCIALS)), "mean", "stddev")
+
+
 @query
 def describe_numeric(spark, sf_dir):
     ages = quality.describe_numeric(_draft_attributes(spark, sf_dir), ["Age"])
