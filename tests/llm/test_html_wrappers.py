@@ -1,4 +1,5 @@
 import html
+import json
 import random
 import re
 
@@ -20,6 +21,7 @@ def test_wrapper_has_repeated_optional_and_text_slots():
     two = "<div><h1>B</h1><img><ul><li>z</li></ul><table><tr><td>q</td></tr></table><p>same</p></div>"
     wrapper = w.merge(w.wrapper_of(w.parse(one)), w.wrapper_of(w.parse(two)))
     block = wrapper.kids[0]
+    assert block.sig == "div~blocks"
     assert [k.sig for k in block.kids] == ["h1", "ul", "table", "p"]
     assert [k.maybe for k in block.kids] == [False, False, True, False]
     assert block.kids[1].kids[0].many and len(block.kids[1].kids) == 1
@@ -27,6 +29,15 @@ def test_wrapper_has_repeated_optional_and_text_slots():
     assert w.dump(w.load(w.dump(wrapper))) == w.dump(wrapper)
 
 
+def test_alignment_finds_what_some_pages_lack():
+    pages = ["<nav><a>x</a></nav><div class=x>ad</div><div class=x><p>t</p></div><div class=x>f</div>",
+             "<nav><a>y</a></nav><div class=x><p>u</p></div><div class=x>g</div>"]
+    for one, two in (pages, pages[::-1]):
+        wrapper = w.merge(w.wrapper_of(w.parse(one)), w.wrapper_of(w.parse(two)))
+        assert [(k.sig, k.maybe) for k in wrapper.kids] == [
+            ("nav~links", False), ("div.x~text", True), ("div.x~blocks", False), ("div.x~text", False)]
+
+
 def test_repeated_groups_of_several_tags():
     page = "<dl>" + "<dt>a</dt><dd>b</dd>" * 5 + "</dl>"
     group = w.wrapper_of(w.parse(page)).kids[0].kids
@@ -190,3 +201,127 @@ def test_blocks_beyond_the_depth_of_wrappers(spark):
     ]
     got = extract(spark, [(f"http://d{k}.example/", p) for k, (p, _) in enumerate(pages)])
     assert [got[k] for k in range(len(pages))] == [want for _, want in pages]
+
+
+# Texts come through the wrapper
+
+
+def pages_of(spark, n=40):
+    return spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").limit(n).collect()
+
+
+def renamed(page):
+    """Every section tag and every class as one neutral block."""
+    page = re.sub(r"<(nav|article|footer|aside|header|main|section)\b[^>]*>", "<div class=x1>", page)
+    page = re.sub(r"</(nav|article|footer|aside|header|main|section)>", "</div>", page)
+    return re.sub(r'<div class="?ad"?>', '<div class=x1>', page)
+
+
+def host_pages(rng, n, story=(1, 60)):
+    """Pages of one host without any telling tag or name: menu, advert, story, notice."""
+    pages, want = [], []
+    for k in range(n):
+        # Every other story is a few words long.
+        title = sentence(rng, 3)
+        body = [sentence(rng, rng.randint(*story)) for _ in range(rng.randint(1, 4))] if k % 2 else [sentence(rng, 2)]
+        advert = f"<div class=x>{sentence(rng, 30)}</div>" * (k % 3 > 0)
+        menu = "".join(f"<li><a href=/{j}>{sentence(rng, 2)}</a></li>" for j in range(6))
+        pages.append(f"<body><div class=x><ul>{menu}</ul></div>{advert}<div class=x><h2>{title}</h2>{''.join(f'<p>{p}</p>' for p in body)}</div><div class=x>{sentence(rng, 12)}</div></body>")
+        want.append("\n\n".join([title, *body]))
+    return pages, want
+
+
+def test_every_host_has_a_wrapper_that_its_pages_fit(spark):
+    from snapmart.llm.url_filter import split_url
+    from pyspark.sql import functions as F
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet").withColumn("host", split_url(F.col("url"))[0])
+    ways = {r.host: (r.pages, json.loads(r.way)) for r in w.infer_wrappers(pages).collect()}
+    rows = pages.collect()
+    assert set(ways) == {r.host for r in rows} and sum(n for n, _ in ways.values()) == len(rows)
+    assert all(w.read(w.parse(r.html), ways[r.host][1]) is not None for r in rows)
+
+
+def test_neutral_tags_and_names_give_the_same_texts(spark):
+    some = pages_of(spark, 1000)
+    one = extract(spark, [(p.url, p.html) for p in some])
+    two = extract(spark, [(p.url, renamed(p.html)) for p in some])
+    assert "<article" not in renamed(some[0].html) and one == two
+
+
+def test_wrapper_tells_the_story_where_a_page_alone_cannot(spark):
+    pages, want = host_pages(random.Random(11), 30)
+    got = extract(spark, [("http://x.example/", p) for p in pages])
+    assert [got[k] for k in range(30)] == want
+    # Without the wrapper, short stories beside longer adverts are lost.
+    alone = [w.main_text(p, None) for p in pages]
+    assert sum(a != b for a, b in zip(alone, want)) >= 3
+
+
+def test_order_of_pages_does_not_matter(spark):
+    rng = random.Random(12)
+    pages, want = host_pages(rng, 24)
+    places = list(range(24))
+    for _ in range(3):
+        rng.shuffle(places)
+        got = extract(spark, [("http://x.example/", pages[k]) for k in places])
+        assert [got[j] for j in range(24)] == [want[k] for k in places]
+
+
+def test_number_of_pages_does_not_matter(spark):
+    rng = random.Random(13)
+    rows = [sentence(rng) for _ in range(6)]
+    for n in (1, 2, 3, 4, 6):
+        got = extract(spark, [("http://n.example/", f"<div class=top>Site</div><div class=text><h2>Summary</h2><p>{r}</p></div>") for r in rows[:n]])
+        assert [got[k] for k in range(n)] == [f"Summary\n\n{r}" for r in rows[:n]]
+
+
+def test_names_inside_the_article_drop_no_text(spark):
+    rng = random.Random(14)
+    text, long = sentence(rng, 12), sentence(rng, 60)
+    pages = [
+        (f"<article><p>{long}</p><section id='discussion'><h2>Discussion</h2><p>{text}</p></section></article>", f"{long}\n\nDiscussion\n\n{text}"),
+        (f"<article><p>{long}</p><section id='search'><p>{text}</p></section></article>", f"{long}\n\n{text}"),
+        (f"<article><p class='side'>{text}</p><p class='bottom'>b</p><p class='legal'>c</p></article>", f"{text}\n\nb\n\nc"),
+        (f"<article><header><h1>Title</h1></header><p>{long}</p></article>", f"Title\n\n{long}"),
+        (f"<nav><a>x</a></nav><h1>Title</h1><article><p>{long}</p></article>", f"Title\n\n{long}"),
+        (f"<main><p>{long}</p></main><article><p>{text}</p></article><article><p>{text}</p></article>", long),
+        (f"<article><p>{long}</p></article><article><h3>Teaser</h3><p>few words</p></article>", long),
+        (f"<article><p>{long}</p><div id=remarks><article><p>{text}</p></article><article><p>{text}</p></article></div></article>", long),
+        (f"<article><p>{long}</p></article><div id=remarks><article><p>{text}</p></article></div>", long),
+        (f"<article><p>{long}</p><div class=comments><p>{text}</p></div><aside>{text}</aside><div class='ad'>Buy</div></article>", long),
+    ]
+    got = extract(spark, [(f"http://i{k}.example/", p) for k, (p, _) in enumerate(pages)])
+    assert [got[k] for k in range(len(pages))] == [want for _, want in pages]
+
+
+def test_hot_host_of_unlike_pages_stays_bounded(spark):
+    rng = random.Random(15)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    name = lambda: "".join(rng.choice(letters) for _ in range(4))
+    whole, want = None, []
+    for k in range(150):
+        junk = "".join(f"<div class={name()}><div class={name()}>{name()}</div></div>" for _ in range(20))
+        page = f"<body><div class=text><p>{sentence(rng)}</p></div>{junk}</body>"
+        one = w.wrapper_of(w.parse(page))
+        whole = w.pruned(w.merge(whole, one)) if whole else one
+        want.append(page)
+    assert len(w.ordered(whole)) <= w.NODES
+    levels = w.way(whole)
+    assert all(w.read(w.parse(p), levels) == re.search("<p>(.*?)</p>", p).group(1) for p in want)
+
+
+def test_ways_that_are_too_many_to_broadcast(spark):
+    from pyspark.sql import functions as F
+    from snapmart.llm.url_filter import split_url
+
+    rng = random.Random(16)
+    rows, want = [], {}
+    for h, n in (("a", 12), ("b", 3), ("c", 1)):
+        pages, texts = host_pages(rng, n, (30, 60))
+        for p, t in zip(pages, texts):
+            want[len(rows)] = t
+            rows.append((len(rows), f"http://{h}.example/", p))
+    df = spark.createDataFrame([*rows, (99, None, None)], "page_id bigint, url string, html string").withColumn("host", split_url(F.col("url"))[0])
+    got = w.read_pages(df, w.infer_wrappers(df), broadcast_bytes=0, hot_pages=5)
+    assert {r.page_id: r.text for r in got.collect()} == want | {99: ""}
