@@ -447,7 +447,7 @@ def _is_part(node: Node) -> bool:
 def _heading_only(node: Node) -> bool:
     if node.tag in HEADINGS:
         return True
-    return node.tag in ("header", "div") and bool(node.kids) and all(_heading_only(k) for k in members(node))
+    return node.tag in ("header", "div") and bool(node.kids) and all(k.tag in HEADINGS for k in members(node))
 
 
 def way(wrapper: Node) -> list:
