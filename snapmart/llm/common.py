@@ -21,6 +21,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Keys that `join_hot` broadcasts at most, and rows of a key that stay together in any case.
+HOT_KEYS, ROWS_OF_KEY = 200_000, 500
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, rows: str, total: int, how: str = "inner") -> DataFrame:
+    """`left` joined (inner or left) with `right`, which has one row a key and in `rows` how many rows of `left` hold it.
+
+    Keys with more rows than a share of the `total` are at most `HOT_KEYS`. They meet `left` where
+    it lies, by a broadcast of their rows of `right`; all other keys are shuffled. A null key is none.
+    """
+    limit = max(ROWS_OF_KEY, total // HOT_KEYS)
+    hot, rest = right.where(F.col(rows) > limit).drop(rows), right.where(F.col(rows) <= limit).drop(rows)
+    others = left.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key, how)
+    return left.join(F.broadcast(hot), key).unionByName(others)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,10 +7,12 @@ value that several owners hold is a copied example; a value of one owner looks l
 the broader pattern are only reported where they look live and overlap no fixed span.
 
 Only DataFrame functions are used. Positions come from the lengths of the pieces that a pattern
-splits a text into. Counts are aggregated before each shuffle, so a value that a third of all
-texts hold costs a row per task; Spark splits the one join on values where it is skewed.
+splits a text into; sums over many matches are taken by blocks of blocks. A value's holders are
+made distinct by owner and repository, which spreads them by repository, and are then counted
+with partial counts. Spans meet the counts of their values; those of values that many spans have
+are broadcast, so no task gets all spans of one value.
 
-Defined cases: a null text counts as empty and has no spans; a null owner counts as one owner,
+Defined cases: very long texts are read whole, in time that grows with their length; a null text counts as empty and has no spans; a null owner counts as one owner,
 and so does a null repository; repeated rows count once for their repository; an empty table
 gives no rows; extra columns are not read. Spans are in code points, the end is exclusive.
 """
@@ -20,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import let, table, written
+from snapmart.llm.common import join_hot, let, table, written
 
 # The patterns by kind, in the order of their names in results.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -37,29 +39,68 @@ EXAMPLE_OWNERS = 3
 _BLOCK = 64
 
 
-def _running(sizes: Column) -> Column:
-    """Running sums of an array of longs, in blocks so that long arrays take no squared time."""
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / _BLOCK).cast("int")),
-        lambda b: F.slice(sizes, b * _BLOCK + 1, _BLOCK),
-    )
-    add = lambda a, x: a + x
-    zero = F.lit(0).cast("long")
+def _running(values: Column, zero: Column, combine, levels: int = 3) -> Column:
+    """Combination of each value with all before it: by blocks, and over the blocks' own totals in the same way.
+
+    So a value costs about `_BLOCK` steps a level, however many there are, up to `_BLOCK` to the power of the levels.
+    """
+
+    def whole(some: Column) -> Column:
+        return F.aggregate(some, zero, combine)
 
-    def sums(values: Column) -> Column:
-        return F.transform(values, lambda _, k: F.aggregate(F.slice(values, F.lit(1), k + 1), zero, add))
+    def single(some: Column) -> Column:
+        return F.transform(some, lambda _, k: whole(F.slice(some, F.lit(1), k + 1)))
+
+    if levels == 1:
+        return let(values, single)
 
     def joined(parts: Column) -> Column:
-        totals = F.transform(parts, lambda p: F.aggregate(p, zero, add))
-        return F.flatten(
-            F.zip_with(
-                F.transform(totals, lambda _, k: F.when(k == 0, zero).otherwise(F.aggregate(F.slice(totals, F.lit(1), F.greatest(k, F.lit(1))), zero, add))),
-                F.transform(parts, sums),
-                lambda before, own: F.transform(own, lambda x: before + x),
+        before = _running(F.concat(F.array(zero), F.transform(parts, whole)), zero, combine, levels - 1)
+        return let(
+            before,
+            lambda b: F.flatten(F.transform(parts, lambda p, k: F.transform(single(p), lambda x: combine(F.get(b, k), x)))),
+        )
+
+    def cut(some: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.greatest(F.size(some), F.lit(1)) - 1) / _BLOCK).cast("int"))
+        return F.transform(blocks, lambda b: F.slice(some, b * _BLOCK + 1, _BLOCK))
+
+    return let(let(values, cut), joined)
+
+
+def _clear_of(spans: Column, others: Column) -> Column:
+    """The `spans` that overlap none of the `others`, by one pass over both in the order of their starts."""
+    least, most = F.lit(-1).cast("long"), F.lit((1 << 62)).cast("long")
+    tagged = F.concat(
+        F.transform(others, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("kind"), s["stop"].alias("stop"), s.alias("span"))),
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("kind"), s["stop"].alias("stop"), s.alias("span"))),
+    )
+
+    def judged(both: Column) -> Column:
+        ends = _running(F.transform(both, lambda x: F.when(x["kind"] == 0, x["stop"]).otherwise(least)), least, lambda a, b: F.greatest(a, b))
+        starts = F.reverse(
+            _running(
+                F.reverse(F.transform(both, lambda x: F.when(x["kind"] == 0, x["start"]).otherwise(most))), most, lambda a, b: F.least(a, b)
             )
         )
+        return let(
+            F.struct(ends.alias("ends"), starts.alias("starts")),
+            lambda e: F.transform(
+                F.filter(
+                    F.transform(
+                        both,
+                        lambda x, k: F.struct(
+                            x["span"].alias("span"),
+                            ((x["kind"] == 1) & (F.get(e["ends"], k) <= x["start"]) & (F.get(e["starts"], k) >= x["stop"])).alias("clear"),
+                        ),
+                    ),
+                    lambda x: x["clear"],
+                ),
+                lambda x: x["span"],
+            ),
+        )
 
-    return let(blocks, joined)
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), let(F.array_sort(tagged), judged)).otherwise(spans)
 
 
 def spans_of(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
@@ -71,7 +112,7 @@ def spans_of(text: Column, kind: str, pattern: str, group: int = 0, least: int =
         pieces = F.split(text, pattern, -1)
         gaps = F.slice(F.transform(pieces, lambda p: F.length(p).cast("long")), F.lit(1), F.size(whole))
         long = F.transform(whole, lambda w: F.length(w).cast("long"))
-        ends = _running(F.zip_with(gaps, long, lambda g, w: g + w))
+        ends = _running(F.zip_with(gaps, long, lambda g, w: g + w), F.lit(0).cast("long"), lambda a, x: a + x)
         rows = F.transform(
             F.arrays_zip(ends.alias("e"), long.alias("l"), value.alias("v")),
             lambda x: F.struct(
@@ -138,10 +179,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo
             out &= value.rlike(pattern)
         return out
 
-    broad = F.filter(
-        "broad",
-        lambda s: holds(s["value"]) & ~F.exists("base", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])),
-    )
+    broad = _clear_of(F.filter("broad", lambda s: holds(s["value"])), F.col("base"))
     return (
         found.withColumn("base", base)
         .withColumn("broad", broad)
@@ -151,13 +189,15 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(sha, n_repositories, n_owners) of every candidate value."""
+    """(sha, n_repositories, n_owners, n_spans) of every candidate value."""
     values = found.select("owner", "repository", F.explode(F.concat("base", "broad")).alias("s")).select(
         "owner", "repository", F.col("s.sha").alias("sha")
     )
-    held = values.distinct()
-    repositories = held.groupBy("sha", "owner").agg(F.count_distinct("repository").alias("n"))
-    return repositories.groupBy("sha").agg(F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"))
+    held = values.groupBy("owner", "repository", "sha").agg(F.count("*").alias("spans"))
+    owners = held.groupBy("sha", "owner").agg(F.count("*").alias("n"), F.sum("spans").alias("spans"))
+    return owners.groupBy("sha").agg(
+        F.sum("n").alias("n_repositories"), F.count("*").alias("n_owners"), F.sum("spans").alias("n_spans")
+    )
 
 
 def scan_secrets(
@@ -170,14 +210,15 @@ def scan_secrets(
 ) -> DataFrame:
     """(doc_id, base, added, live, examples) of every row: spans, those the method adds, and how the values look."""
     found = written(candidates(docs, id_col, text_col, owner_col, repository_col), "secrets")
-    owners = ownership(found)
+    total = found.agg(F.sum(F.size("base") + F.size("broad")).alias("spans")).first().spans or 0
+    owners = written(ownership(found), "secret-owners")
     spans = found.select("rid", F.explode(F.concat("base", "broad")).alias("s")).select(
         "rid", F.struct("s.start", "s.rank", "s.stop").alias("span"), F.col("s.sha").alias("sha")
     )
     live = F.col("n_owners") < example_owners
     owned = F.col("span.rank") == KINDS.index("owned")
     judged = (
-        spans.join(owners, "sha")
+        join_hot(spans, owners, "sha", "n_spans", total)
         .groupBy("rid")
         .agg(
             F.collect_list(F.when(owned & (F.col("n_owners") == 1), F.col("span"))).alias("added"),
