@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import written
+from snapmart.llm.common import join_hot, written
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """Hang neighbours on the smallest one: those above the node (large), or the node and those below."""
+def _stars(edges: DataFrame, large: bool, total: int) -> DataFrame:
+    """Hang neighbours on the smallest one: those above the node (large), or the node and those below.
+
+    `total` is a bound for the edges.
+    """
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("n"), F.least("u", "m").alias("m"))
-    hung = both.join(least, F.col("u") == F.col("n")).select("u", "v", "m")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("rows")).withColumn("m", F.least("u", "m"))
+    hung = join_hot(both, least, "u", "rows", 2 * total).select("u", "v", "m")
     if large:
         out = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select(F.col("n").alias("u"), F.col("m").alias("v"))
+            least.select("u", F.col("m").alias("v"))
         )
     return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
@@ -26,7 +29,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, label) for all nodes of `edges` (a, b); the label is the smallest node that can be reached.
 
     The number of edges never grows, and rounds grow with the logarithm of the longest path
-    squared at most. Each round is written to the shared folder; no node's edges are gathered.
+    squared at most. Each round is written to the shared folder. Smallest neighbours are taken with
+    partial minima, and edges of a node with many stay where they are, so no task has them all.
     """
     now = written(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), f"{name}-edges"
@@ -34,7 +38,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     state = F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("s"))
     seen = now.agg(state.alias("x")).first().x
     while seen.n:
-        now = written(_stars(_stars(now, True), False), f"{name}-round")
+        now = written(_stars(_stars(now, True, seen.n), False, seen.n), f"{name}-round")
         after = now.agg(state.alias("x")).first().x
         if after == seen:
             break

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import packed, table, unpacked, written
+from snapmart.llm.common import join_hot, packed, table, unpacked, written
 from snapmart.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -160,10 +160,14 @@ def near_duplicates(
     prints = written(with_fingerprint(narrow, "text", "fp", shingle).select("doc_id", "fp"), "simhash-prints")
     distinct = written(prints.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")), "simhash-distinct")
     classes = near_duplicate_classes(distinct.select("fp", "n"), bits)
-    labelled = distinct.join(classes, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label"))
-    firsts = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_print = labelled.join(firsts, "label").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    held = distinct.agg(F.count("*").alias("prints"), F.sum("n").alias("rows")).first()
+    labelled = written(
+        distinct.join(classes, "fp", "left").select("fp", "n", "least", F.coalesce("label", "fp").alias("label")), "simhash-labels"
+    )
+    firsts = labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("prints"))
+    of_print = join_hot(labelled, firsts, "label", "prints", held.prints).select("fp", "n", "component_id")
+    joined = join_hot(prints, of_print, "fp", "n", held.rows or 0)
+    return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def first_of_each_class(
@@ -178,15 +182,18 @@ def first_of_each_class(
     rank = F.struct(F.col("own_id").isNull().alias("no_id"), F.col("own_id").alias("id"), "rid")
     distinct = written(keyed.groupBy("fp").agg(F.count("*").alias("n"), F.min(rank).alias("first")), "simhash-distinct")
     classes = near_duplicate_classes(distinct.select("fp", "n"), bits, "simhash-docs")
-    labelled = distinct.join(classes, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    best = labelled.groupBy("label").agg(F.min("first").alias("best"), F.sum("n").alias("members"))
+    held = distinct.agg(F.count("*").alias("prints"), F.sum("n").alias("rows")).first()
+    labelled = written(distinct.join(classes, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "simhash-labels")
+    best = labelled.groupBy("label").agg(F.min("first").alias("best"), F.sum("n").alias("members"), F.count("*").alias("prints"))
     # Only rows of classes with more than one member can go.
-    crowded = written(
-        labelled.join(best.where("members > 1"), "label").select("fp", F.col("best.rid").alias("stays")), "simhash-crowded"
-    )
-    # Two longs a row: broadcast while that is small, else both sides are shuffled.
-    small = crowded.count() * 16 <= BROADCAST_BYTES
-    kept = keyed.join(F.broadcast(crowded) if small else crowded, "fp", "left").where("stays is null or stays = rid")
+    joined = join_hot(labelled, best.where("members > 1"), "label", "prints", held.prints)
+    crowded = written(joined.select("fp", "n", F.col("best.rid").alias("stays")), "simhash-crowded")
+    # Two longs a row: broadcast while that is small, else only frequent fingerprints are and the others shuffled.
+    if crowded.count() * 16 <= BROADCAST_BYTES:
+        kept = keyed.join(F.broadcast(crowded.drop("n")), "fp", "left")
+    else:
+        kept = join_hot(keyed, crowded, "fp", "n", held.rows, "left")
+    kept = kept.where("stays is null or stays = rid")
     return unpacked(kept, "row", {}).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
