@@ -47,6 +47,18 @@ class HeavyKeys:
         return self.sizes is not None
 
 
+def largest_buckets(df: DataFrame, keys: tuple[str, ...], by: str) -> DataFrame:
+    """Rows of the largest hash bucket of the keys, for each value of ``by``: a bound for the rows of a key."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(FIRST_BUCKETS)).alias("bucket")
+    return df.groupBy(by, bucket).agg(F.count("*").alias("n")).groupBy(by).agg(F.max("n").alias("largest"))
+
+
+def surely_light(largest: list[int], *, rows_per_cell: int = ROWS_PER_CELL) -> bool:
+    """True if keys with at most so many rows in each frame cannot be heavy."""
+    pairs = math.prod(largest) if len(largest) == 2 else 0
+    return max(largest, default=0) <= rows_per_cell and pairs <= rows_per_cell * PAIRS_PER_ROW
+
+
 def _stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -9,7 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..feeds import ATTRIBUTES, CLICKSTREAM, FEEDS, FINANCIALS, LOANS, SNAPSHOT, Feed
+from ..feeds import ATTRIBUTES, CLICKSTREAM, FEATURE_KEYS, FEEDS, FINANCIALS, LOANS, SNAPSHOT, Feed
 from ..functions.dates import iso_date
 from ..operators import profiles
 from ..operators.features import (
@@ -19,6 +19,7 @@ from ..operators.features import (
     loan_types_by_snapshot,
     matched_feature_table,
 )
+from ..operators.joins import HeavyKeys, largest_buckets, surely_light
 from ..operators.labels import label_table
 from ..operators.silver import conform, with_arrears
 from ..sources.files import scan_csv, scan_feed_files, slice_snapshots
@@ -28,10 +29,13 @@ from ..sources.tables import (
     Manifest,
     NoSnapshots,
     drop_snapshots,
+    live_versions,
     manifest,
     optional_snapshots,
     partition_folders,
+    read_bucketed,
     read_snapshots,
+    session_settings,
     stored_dates,
     write_snapshots,
 )
@@ -42,6 +46,7 @@ MATCHED_FEATURES = "feature_store_matched"
 LOAN_TYPES = "loan_types"
 PROFILES = "profiles"
 DISTINCT = "distinct_values"
+SIZES = "key_sizes"
 
 
 def fingerprints(raw: DataFrame) -> dict[dt.date | None, str]:
@@ -97,10 +102,14 @@ class Mart:
     loses an executor recomputes from silver files, not from raw text.
     """
 
-    def __init__(self, spark: SparkSession, root: str, *, bronze_format: str = "parquet"):
+    def __init__(
+        self, spark: SparkSession, root: str, *, bronze_format: str = "parquet", buckets: int | None = None
+    ):
+        """``buckets`` lays silver feature feeds out by customer: gold then joins them without a shuffle."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.bronze_format = bronze_format
+        self.buckets = (FEATURE_KEYS[0], buckets) if buckets else None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -182,7 +191,9 @@ class Mart:
         if feed is LOANS:
             rows = with_arrears(rows)
         # Bronze is split by snapshot already: its files need no second shuffle.
-        return write_snapshots(rows, path, dates=covered, rebalance=raw is not None)
+        return write_snapshots(
+            rows, path, dates=covered, rebalance=raw is not None, buckets=None if feed is LOANS else self.buckets
+        )
 
     def build_silver_from_files(self, feed: Feed, folder: str) -> int:
         """Clean a folder of monthly files dated by their names."""
@@ -196,6 +207,33 @@ class Mart:
             self.spark, self.path("silver", feed.table), feed.ddl(), dates=dates
         )
 
+    def _side(self, feed: Feed, dates: list | None) -> DataFrame:
+        """Silver rows for a join by customer, by buckets where there are some; empty if there is no table."""
+        path = self.path("silver", feed.table)
+        if not self.buckets or not live_versions(self.spark, path):
+            return self.silver_or_empty(feed, dates)
+        return read_bucketed(self.spark, path, self.buckets, dates=dates)
+
+    def _joins_by_bucket(self):
+        """Buckets of one column are enough for joins on customer and snapshot."""
+        return session_settings(self.spark, spark_sql_requireAllClusterKeysForCoPartition="false")
+
+    def _light(self, *feeds: Feed) -> HeavyKeys | None:
+        """No heavy keys, if the sizes kept by snapshot rule them out; None if they must be looked for.
+
+        The sizes of a snapshot are taken once, from its customer column. Without buckets
+        the joins look for heavy keys themselves.
+        """
+        if not self.buckets:
+            return None
+        largest = []
+        for feed in feeds:
+            source, path = self.path("silver", feed.table), self.path(SIZES, feed.table)
+            refresh(self.spark, source, path, lambda rows: largest_buckets(rows, FEATURE_KEYS, SNAPSHOT))
+            kept = states(self.spark, path, f"largest bigint, {SNAPSHOT} date")
+            largest.append(kept.agg(F.max("largest").alias("largest")).first().largest or 0)
+        return HeavyKeys(FEATURE_KEYS) if surely_light(largest) else None
+
     # Gold: labels and features.
 
     def build_labels(self, dpd: int = 30, mob: int = 6, dates: list | None = None) -> int:
@@ -235,13 +273,16 @@ class Mart:
         if self._without_source(FINANCIALS, path, dates):
             return 0
         self.refresh_vocabulary()
-        rows = feature_table(
-            self.silver(FINANCIALS, dates),
-            self.silver_or_empty(ATTRIBUTES, dates),
-            self.silver_or_empty(CLICKSTREAM, dates),
+        with self._joins_by_bucket():
+            return write_snapshots(self.features(dates), path, dates=ALL if dates is None else dates)
+
+    def features(self, dates: list | None = None) -> DataFrame:
+        """The feature table as a frame over silver, with the vocabulary of the last refresh."""
+        return feature_table(
+            *[self._side(feed, dates) for feed in (FINANCIALS, ATTRIBUTES, CLICKSTREAM)],
             vocabulary=self.vocabulary(),
+            heavy=self._light(FINANCIALS, ATTRIBUTES),
         )
-        return write_snapshots(rows, path, dates=ALL if dates is None else dates)
 
     # Profiles: states by snapshot, merged on demand.
 
@@ -274,10 +315,14 @@ class Mart:
 
         The common dates come from folder names and prune the scans of all three.
         """
+        with self._joins_by_bucket():
+            return write_snapshots(self.matched_features(), self.path("gold", MATCHED_FEATURES), dates=ALL)
+
+    def matched_features(self) -> DataFrame:
+        """The matched feature table as a frame over silver."""
         feeds = (ATTRIBUTES, FINANCIALS, CLICKSTREAM)
         dates = self.common_dates(*feeds)
-        rows = matched_feature_table(*[self.silver(f, dates) for f in feeds])
-        return write_snapshots(rows, self.path("gold", MATCHED_FEATURES), dates=ALL)
+        return matched_feature_table(*[self._side(f, dates) for f in feeds], heavy=self._light(ATTRIBUTES, FINANCIALS))
 
     def common_dates(self, *feeds: Feed) -> list[dt.date]:
         """Snapshots that every silver table has."""

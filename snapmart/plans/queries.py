@@ -51,6 +51,7 @@ ONE_SNAPSHOT = dt.date(1998, 6, 1)
 LATE_MOB = 7
 LOST_MONTH = dt.date(2024, 2, 1)
 LATE_LOAN = "Student Loan"
+BUCKETS = 8
 CHANGED_CUSTOMER = "CUS_13"
 EXACT_COLUMNS = ("Type_of_Loan", "Interest_Rate", "Annual_Income")
 
@@ -350,7 +351,7 @@ def feed_redelivery(spark, sf_dir):
 @query
 def gold_incremental(spark, sf_dir):
     """Month by month, with a loan type that the first month does not have."""
-    mart = Mart(spark, scratch_path(spark, "incremental"))
+    mart = Mart(spark, scratch_path(spark, "incremental"), buckets=BUCKETS)
     raw = derived.financials(spark, sf_dir)
     late = F.col("Type_of_Loan").contains(LATE_LOAN) & (F.col(SNAPSHOT) != F.lit(LOST_MONTH).cast("string"))
     raw = raw.filter(~F.coalesce(late, F.lit(False)))
@@ -363,7 +364,7 @@ def gold_incremental(spark, sf_dir):
 @query
 def matched_build(spark, sf_dir):
     """The written table of matched features, for the snapshots that all feeds have."""
-    mart = Mart(spark, scratch_path(spark, "matched"))
+    mart = Mart(spark, scratch_path(spark, "matched"), buckets=BUCKETS)
     for feed, raw in zip((ATTRIBUTES, FINANCIALS, CLICKSTREAM), _joined_feeds(spark, sf_dir)):
         mart.build_silver(feed, raw)
     mart.build_matched_features()

@@ -14,6 +14,7 @@ import json
 import re
 import uuid
 from collections.abc import Iterable
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -41,6 +42,10 @@ class NoSnapshots(FileNotFoundError):
     """A table that must exist has no data."""
 
 
+class BucketDrift(ValueError):
+    """A write or read asks for other buckets than those in which a table's rows lie."""
+
+
 class ConcurrentWrite(RuntimeError):
     """Another write of the same table was finished first; its result stands."""
 
@@ -49,18 +54,20 @@ class ConcurrentWrite(RuntimeError):
 class Manifest:
     """Live version of every snapshot; None is the snapshot of rows without a date.
 
-    ``sources`` are the versions of another table from which snapshots were derived.
+    ``sources`` are the versions of another table from which snapshots were derived, ``buckets``
+    the column and number of the buckets in which rows lie, if they do.
     """
 
     number: int = 0
     versions: dict[dt.date | None, str] = field(default_factory=dict)
     sources: dict[dt.date | None, str] = field(default_factory=dict)
+    buckets: tuple[str, int] | None = None
 
     def text(self) -> str:
         def named(versions: dict) -> dict[str, str]:
             return {"" if d is None else d.isoformat(): v for d, v in versions.items()}
 
-        return json.dumps({"versions": named(self.versions), "sources": named(self.sources)})
+        return json.dumps({"versions": named(self.versions), "sources": named(self.sources), "buckets": self.buckets})
 
     @staticmethod
     def of(number: int, text: str) -> Manifest:
@@ -68,7 +75,8 @@ class Manifest:
             return {dt.date.fromisoformat(d) if d else None: v for d, v in versions.items()}
 
         content = json.loads(text)
-        return Manifest(number, dated(content["versions"]), dated(content["sources"]))
+        buckets = tuple(content["buckets"]) if content.get("buckets") else None
+        return Manifest(number, dated(content["versions"]), dated(content["sources"]), buckets)
 
 
 def _folder(spark: SparkSession, path: str):
@@ -187,6 +195,7 @@ def write_snapshots(
     rebalance: bool = True,
     max_records_per_file: int = 0,
     sources: dict[dt.date | None, str] | None = None,
+    buckets: tuple[str, int] | None = None,
 ) -> int:
     """Replace the snapshots present in ``df``; return the row count.
 
@@ -198,34 +207,97 @@ def write_snapshots(
     grows with the data. The count is taken while writing, not in a second pass.
     Writing the same rows again leaves the table's rows unchanged. The calls of the
     driver do not grow with the months, but for folders that are removed after a switch.
+
+    ``buckets``, a column and a number, puts equal values of the column into one bucket, so
+    that joins on it need no shuffle (``read_bucketed``). A table keeps its buckets.
     """
     spark = df.sparkSession
     before = _as_manifest(spark, path)
+    if before.number and before.buckets != buckets:
+        raise BucketDrift(f"{path} has buckets {before.buckets}, not {buckets}")
     version = f"v{uuid.uuid4().hex}"
     counted = Observation()
-    rows = df.hint("rebalance", F.col(SNAPSHOT)) if rebalance else df
+    if buckets:
+        # Spark's own bucket of a row: a task has few buckets, and a hot one is dealt over several tasks.
+        bucket = F.pmod(F.hash(buckets[0]), F.lit(buckets[1]))
+        df = df.withColumn("_bucket", bucket).hint("rebalance", F.col("_bucket")).drop("_bucket")
+    rows = df.hint("rebalance", F.col(SNAPSHOT)) if rebalance and not buckets else df
     # Counted in the writing stage: a map stage repeated after an executor loss
     # would be counted twice.
     rows = rows.observe(counted, F.count(F.lit(1)).alias("rows")).withColumn(VERSION, F.lit(version))
-    writer = (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(SNAPSHOT, VERSION)
-    )
-    if fmt == "csv":
-        writer = writer.option("header", True)
-    writer.format(fmt).save(path)
+    if buckets:
+        own = [c for c in rows.columns if c not in (SNAPSHOT, VERSION)]
+        with _bucketed_table(spark, path, rows.select(*own, SNAPSHOT), buckets) as name:
+            rows.select(*own, SNAPSHOT, VERSION).write.insertInto(name)
+    else:
+        writer = (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", max_records_per_file)
+            .partitionBy(SNAPSHOT, VERSION)
+        )
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        writer.format(fmt).save(path)
     new = {d: v for d, v in _versions_in(found_paths(spark, f"{path}/{SNAPSHOT}=*/{VERSION}={version}"))}
     covered = set(before.versions) if dates == ALL else set(dates or ())
     kept = {d: v for d, v in before.versions.items() if d not in covered and d not in new}
     if sources is None:
         sources = {d: v for d, v in before.sources.items() if d not in covered and d not in new}
-    commit(spark, path, Manifest(before.number + 1, kept | new, sources))
+    commit(spark, path, Manifest(before.number + 1, kept | new, sources, buckets))
     _expire(spark, path, KEPT_MANIFESTS)
     return counted.get["rows"]
 
 
+@contextmanager
+def session_settings(spark: SparkSession, **settings: str):
+    """Settings of the session while a plan is made and run; names have _ for the dot."""
+    names = {name: name.replace("_", ".") for name in settings}
+    old = {name: spark.conf.get(names[name], None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(names[name], value)
+    try:
+        yield
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(names[name]) if value is None else spark.conf.set(names[name], value)
+
+
+@contextmanager
+def _bucketed_table(spark: SparkSession, path: str, df: DataFrame, buckets: tuple[str, int]):
+    """Name of a table over a folder, in the session's catalog for a moment: only tables have buckets."""
+    name = f"snapmart_{uuid.uuid4().hex}"
+    types = {f.name: f.dataType.simpleString() for f in df.schema} | {VERSION: "string"}
+    columns = ", ".join(f"`{c}` {t}" for c, t in types.items())
+    with session_settings(spark, spark_sql_hive_manageFilesourcePartitions="false"):
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{SNAPSHOT}`, `{VERSION}`) "
+            f"CLUSTERED BY (`{buckets[0]}`) INTO {buckets[1]} BUCKETS LOCATION '{path}'"
+        )
+    try:
+        yield name
+    finally:
+        # The table lies elsewhere: its files stay.
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def read_bucketed(spark: SparkSession, path: str, buckets: tuple[str, int], *, dates: list | None = None) -> DataFrame:
+    """Scan a table by its buckets: joins and groups on their column need no shuffle of it."""
+    known = manifest(spark, path)
+    if known is None or not known.versions:
+        raise NoSnapshots(f"no snapshots under {path}")
+    if known.buckets != buckets:
+        raise BucketDrift(f"{path} has buckets {known.buckets}, not {buckets}")
+    plain = read_snapshots(spark, path)
+    with _bucketed_table(spark, path, plain, buckets) as name:
+        table = spark.table(name)
+    wanted = [d for d in known.versions if dates is None or d in set(dates)]
+    live = [
+        (F.col(SNAPSHOT).isNull() if d is None else F.col(SNAPSHOT) == F.lit(d)) & (F.col(VERSION) == known.versions[d]) for d in wanted
+    ]
+    return table.filter(reduce(lambda a, b: a | b, live, F.lit(False))).select(*plain.columns)
+
+
 def _as_manifest(spark: SparkSession, path: str) -> Manifest:
     """The newest manifest, or an empty one for a new table."""
     known = manifest(spark, path)
@@ -240,7 +312,7 @@ def drop_snapshots(spark: SparkSession, path: str, dates: Iterable) -> None:
     gone = set(dates)
     if known is not None and gone & {*known.versions, *known.sources}:
         versions, sources = ({d: v for d, v in held.items() if d not in gone} for held in (known.versions, known.sources))
-        commit(spark, path, Manifest(known.number + 1, versions, sources))
+        commit(spark, path, Manifest(known.number + 1, versions, sources, known.buckets))
         _expire(spark, path, KEPT_MANIFESTS)
 
 

@@ -6,7 +6,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from snapmart.feeds import ATTRIBUTES, FINANCIALS
+from snapmart.feeds import ATTRIBUTES, CLICKSTREAM, FINANCIALS
 from snapmart.operators import profiles, quality
 from snapmart.plans import derived
 from snapmart.plans.mart import FEATURES, LOAN_TYPES, Mart, fingerprints
@@ -297,3 +297,82 @@ def test_run_over_all_months_needs_no_calendar(spark, tmp_path):
     counts = mart.run({n: derived.RAW[n](spark, SF) for n in ("attributes", "financials")}, None)
     assert counts["bronze/attributes"] == counts["silver/attributes"] == derived.attributes(spark, SF).count()
     assert counts["gold/feature_store"] == 150 and tables.stored_dates(spark, mart.path("silver", ATTRIBUTES.table)) == [JAN, FEB]
+
+
+# Silver by buckets
+
+
+def bucketed(spark, root, n=4):
+    mart = Mart(spark, root, buckets=n)
+    feeds = (ATTRIBUTES, FINANCIALS, CLICKSTREAM)
+    for feed, raw in zip(feeds, (derived.attributes_with_gaps, derived.financials, derived.clickstream)):
+        mart.build_silver(feed, raw(spark, SF))
+    return mart
+
+
+@pytest.fixture(scope="module")
+def laid_out(spark, tmp_path_factory):
+    return bucketed(spark, str(tmp_path_factory.mktemp("buckets")))
+
+
+def same(a, b):
+    return a.exceptAll(b.select(*a.columns)).isEmpty() and b.select(*a.columns).exceptAll(a).isEmpty()
+
+
+def test_gold_joins_buckets_without_a_shuffle(spark, laid_out, tmp_path):
+    plain = Mart(spark, str(tmp_path))
+    for feed, raw in zip((ATTRIBUTES, FINANCIALS, CLICKSTREAM), (derived.attributes_with_gaps, derived.financials, derived.clickstream)):
+        plain.build_silver(feed, raw(spark, SF))
+    laid_out.refresh_vocabulary(), plain.refresh_vocabulary()
+    with tables.session_settings(spark, spark_sql_autoBroadcastJoinThreshold="-1"), laid_out._joins_by_bucket():
+        for build in ("features", "matched_features"):
+            df = getattr(laid_out, build)()
+            text = df._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in text and "SortMergeJoin" in text and "Bucketed: true" in text
+            df.count()
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+            other = getattr(plain, build)()
+            assert "Exchange" in other._jdf.queryExecution().executedPlan().toString()
+            assert same(df, other)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_buckets_of_one_month(spark, laid_out):
+    one = laid_out._side(FINANCIALS, [FEB])
+    assert {r.snapshot_date for r in one.select("snapshot_date").distinct().collect()} == {FEB}
+    assert "PartitionFilters: [isnotnull" in one._jdf.queryExecution().executedPlan().toString() or one.count()
+    assert laid_out._side(FINANCIALS, [MAR]).count() == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("snapmart_")]
+
+
+def test_drift_of_buckets_is_refused(spark, laid_out):
+    path = laid_out.path("silver", "financials")
+    for other in (Mart(spark, laid_out.root, buckets=5), Mart(spark, laid_out.root)):
+        with pytest.raises(tables.BucketDrift):
+            other.build_silver(FINANCIALS, derived.financials(spark, SF))
+    with pytest.raises(tables.BucketDrift):
+        tables.read_bucketed(spark, path, ("Customer_ID", 5))
+    assert tables.manifest(spark, path).buckets == ("Customer_ID", 4)
+
+
+def test_replaced_months_keep_their_buckets(spark, tmp_path):
+    mart = bucketed(spark, str(tmp_path))
+    path = mart.path("silver", "financials")
+    february = derived.financials(spark, SF).filter("snapshot_date = '2024-02-01'").withColumn("Credit_Mix", F.lit("new"))
+    mart.build_silver(FINANCIALS, february)
+    rows = tables.read_bucketed(spark, path, mart.buckets)
+    assert rows.count() == 150 and rows.filter("Credit_Mix = 'new'").count() == february.count()
+    assert same(rows, mart.silver(FINANCIALS))
+    tables.drop_snapshots(spark, path, [JAN])
+    assert tables.read_bucketed(spark, path, mart.buckets).count() == february.count()
+
+
+def test_heavy_keys_are_still_found_with_buckets(spark, tmp_path, monkeypatch):
+    from snapmart.operators import joins
+    from snapmart.plans import mart as plans
+
+    mart = bucketed(spark, str(tmp_path))
+    assert mart._light(FINANCIALS, ATTRIBUTES) is not None
+    monkeypatch.setattr(plans, "surely_light", lambda largest: joins.surely_light(largest, rows_per_cell=1))
+    assert mart._light(FINANCIALS, CLICKSTREAM) is None
+    assert joins.surely_light([]) and joins.surely_light([10, 10], rows_per_cell=10) and not joins.surely_light([10, 101], rows_per_cell=10)
