@@ -6,9 +6,11 @@ with digits, and the same windows with the span rewritten as people write it to
 pattern (spelled-out marks, other separators), labelled as before. Its weights have a fixed
 size and travel with the tasks.
 
-Every text is read whole. A span of any kind holds a digit, an at sign or a spelled-out one, so
-stretches without them need no decoding. Around each such mark the text is cut into windows
-that overlap by half. Each window is decoded, and a character's label scores are summed over
+Every text is read whole. What an added span must look like is fixed (`holds`): digits with at
+most three other marks between two of them, or a local part, an at sign or a spelled-out one, and
+a domain with dots or spelled-out ones, of any length. Text that fits neither form can hold no
+span, so only the stretches around all that does are decoded, whole and with a margin on both
+sides. Each stretch is cut into windows that overlap by half. Each window is decoded, and a character's label scores are summed over
 all windows that cover it, weighted by how far inside it lies; one CRF decoding over the
 summed scores of a whole stretch then settles the labels, so windows cannot contradict each
 other. Of its spans those are added that are certain enough, hold what their kind needs and
@@ -21,7 +23,6 @@ in the sample nothing is added; extra columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -91,17 +92,26 @@ CODES = len(ALPHABET) + 4
 LABELS = 1 + 2 * len(KINDS)
 HIDDEN, EMBEDDED = 24, 12
 WINDOW, STRIDE = 64, 32
-#: Characters kept on both sides of a mark that could be part of a span.
+#: Characters of context on both sides of what could be a span.
 MARGIN = 40
 #: Bounds of the training sample: documents read (expected), and windows held on the driver.
 SAMPLE_DOCUMENTS, SAMPLE_WINDOWS = 20_000, 2_000
-EPOCHS, RATE, BATCH = 10, 0.01, 128
+EPOCHS, RATE, BATCH = 25, 0.01, 128
 #: Least mean log-odds of an added span's labels against no label.
 CERTAIN = 4.0
 #: Bounds of what is decoded together.
 WINDOWS_AT_ONCE, CHARS_AT_ONCE = 512, 100_000
 
-_MARK = re.compile(r"[0-9@]|(?i:[\[({ ](?:at)[\])} ])(?=[^\n]{1,40}?(?:\.|dot))")
+# Forms of added spans: digits with few marks between them, and a local part, at, and a domain.
+_SEP = r"[\s\[\](){}<>-]{0,3}"
+_TAIL = rf"(?:@|\bat\b){_SEP}[\w-]+(?:{_SEP}(?:\.|\bdot\b){_SEP}[\w-]+)+"
+_RUN = r"[0-9](?:[^\w\n]{0,3}[0-9])+"
+_AT, _DIGITS = re.compile(_TAIL, re.I), re.compile(_RUN)
+_MAIL_FORM = re.compile(rf"[\w.%+-]+{_SEP}{_TAIL}", re.I)
+_NUMBER_FORM = re.compile(rf"[+(]{{0,2}}{_RUN}\)?")
+_NAME, _BETWEEN = re.compile(r"[\w.%+-]"), re.compile(r"[\s\[\](){}<>-]")
+#: Digits that an address, the shortest kind, has at least.
+_LEAST_DIGITS = 4
 
 
 def _code_table() -> np.ndarray:
@@ -350,13 +360,31 @@ def sample_for_training(docs: DataFrame) -> list[tuple[int, str, list[Span]]]:
 # ---------------------------------------------------------------- decoding whole texts
 
 
+def candidates(text: str) -> Iterator[tuple[int, int]]:
+    """Parts of the text, in order of their starts by form, in which every span that `holds` lies."""
+    for m in _DIGITS.finditer(text):
+        if sum(c in "0123456789" for c in m.group()) >= _LEAST_DIGITS:
+            yield max(0, m.start() - 2), min(len(text), m.end() + 1)
+    end = 0
+    for m in _AT.finditer(text):
+        # The local part, before up to three marks, and marks that could belong to it.
+        start = m.start()
+        while start > max(0, m.start() - 3) and _BETWEEN.match(text, start - 1):
+            start -= 1
+        while start > end and _NAME.match(text, start - 1):
+            start -= 1
+        if start < m.start():
+            yield start, m.end()
+        end = m.start()
+
+
 def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text that hold a mark, with a margin, merged where they touch."""
+    """The candidates of a text with a margin, merged where they touch."""
     out: list[list[int]] = []
-    for m in _MARK.finditer(text):
-        a, b = max(0, m.start() - MARGIN), min(len(text), m.end() + MARGIN)
+    for start, end in sorted(candidates(text)):
+        a, b = max(0, start - MARGIN), min(len(text), end + MARGIN)
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1][1] = max(out[-1][1], b)
         else:
             out.append([a, b])
     return [(a, b) for a, b in out]
@@ -381,11 +409,13 @@ def emissions(tagger: Tagger, pieces: list[np.ndarray]) -> list[np.ndarray]:
     return [t / m for t, m in zip(total, mass)]
 
 
-def _holds(kind: int, found: str) -> bool:
-    """What a span of a kind must hold."""
-    digits = sum(c in "0123456789" for c in found)
+def holds(kind: int, found: str) -> bool:
+    """What a span of a kind must look like."""
     if kind == 0:
-        return bool(re.search(r"(?i)@|\bat\b", found) and re.search(r"(?i)\.|dot", found))
+        return _MAIL_FORM.fullmatch(found) is not None
+    if not _NUMBER_FORM.fullmatch(found):
+        return False
+    digits = sum(c in "0123456789" for c in found)
     if kind == 1:
         numbers = re.findall("[0-9]+", found)
         return len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers)
@@ -394,11 +424,6 @@ def _holds(kind: int, found: str) -> bool:
     return 9 <= digits <= 15
 
 
-def _worth_decoding(piece: str) -> bool:
-    """Whether a stretch could hold a span of any kind."""
-    return sum(c in "0123456789" for c in piece) >= 4 or "@" in piece or bool(re.search(r"(?i)\bat\b", piece))
-
-
 def _spans_on(tagger: Tagger, emit: np.ndarray) -> list[Span]:
     """(kind, start, end) of the certain spans on the best path of a stretch."""
     path = tagger.best_path(emit)
@@ -430,19 +455,18 @@ def added_spans(tagger: Tagger, texts: list[str], base: list[list[Span]]) -> lis
                     y -= 1
                 while x < y and text[x] in " .,;:\n":
                     x += 1
-                if y > x and _holds(kind, text[x:y]) and not any(s < y and x < e for _, s, e in base[k]):
+                if y > x and holds(kind, text[x:y]) and not any(s < y and x < e for _, s, e in base[k]):
                     out[k].append((kind, x, y))
         held.clear()
 
     chars = 0
     for k, text in enumerate(texts):
         for a, b in stretches(text):
-            if _worth_decoding(text[a:b]):
-                held.append((k, a, b))
-                chars += b - a
-                if chars >= CHARS_AT_ONCE:
-                    decode()
-                    chars = 0
+            held.append((k, a, b))
+            chars += b - a
+            if chars >= CHARS_AT_ONCE:
+                decode()
+                chars = 0
     decode()
     return out
 
@@ -490,26 +514,3 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.array_sort(F.concat("base", "added"))).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
     )
-
-
-def brute_force_digest(text: str | None) -> str:
-    """Hash of the base spans, from the patterns as they are stated, for tests."""
-    text, out = text or "", []
-    stated = (
-        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
-        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-        r"[0-9]([\x20-]?[0-9])+",
-        r"\+[0-9][\x20().0-9-]+[0-9]",
-    )
-    for kind, pattern in enumerate(stated):
-        for m in re.finditer(pattern, text):
-            digits = re.sub("[^0-9]", "", m.group())
-            fits = (
-                True,
-                all(int(p) <= 255 for p in m.group().split(".")) if kind == 1 else True,
-                13 <= len(digits) <= 19 and _luhn(digits),
-                9 <= len(digits) <= 15,
-            )[kind]
-            if fits:
-                out.append(f"{KINDS[kind]}:{m.start()}:{m.end()}")
-    return hashlib.sha256(",".join(out).encode()).hexdigest()
