@@ -146,7 +146,10 @@ def stored_parts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows.write.format("parquet").bucketBy(shuffle_partitions(spark), "src").option(
         "path", scratch_path(spark, "exact-dedup")
     ).saveAsTable(name)
-    return spark.table(name)
+    parts = spark.table(name)
+    # The frame knows its files and buckets; the session's catalog keeps no table of it.
+    spark.sql(f"DROP TABLE {name}")
+    return parts
 
 
 def suspects(parts: DataFrame) -> DataFrame:

@@ -73,6 +73,12 @@ def test_parts_stay_in_place(spark, edge):
     assert "Exchange" not in plan
 
 
+def test_no_table_is_left_in_the_catalog(spark, edge):
+    before = len(spark.catalog.listTables())
+    parts = stored_parts(edge, "doc_id", "text")
+    assert len(spark.catalog.listTables()) == before and parts.count() == edge.count()
+
+
 def test_query_matches_sql(spark):
     from snapmart.llm.queries import ORACLE
 
