@@ -165,7 +165,7 @@ def near_duplicates(
         distinct.join(classes, "fp", "left").select("fp", "n", "least", F.coalesce("label", "fp").alias("label")), "simhash-labels"
     )
     firsts = labelled.groupBy("label").agg(F.min("least").alias("component_id"), F.count("*").alias("prints"))
-    of_print = join_hot(labelled, firsts, "label", "prints", held.prints).select("fp", "n", "component_id")
+    of_print = written(join_hot(labelled, firsts, "label", "prints", held.prints).select("fp", "n", "component_id"), "simhash-classes")
     joined = join_hot(prints, of_print, "fp", "n", held.rows or 0)
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 

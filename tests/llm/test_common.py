@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from snapmart.llm import common
@@ -18,8 +19,10 @@ def test_hot_keys_stay_where_they_are(spark, monkeypatch):
     assert one_sided.count() == 6000 and one_sided.where("top IS NULL").count() > 0
 
 
-def test_components_of_a_hot_node(spark, monkeypatch):
+@pytest.mark.parametrize("edges_of_node", [1 << 20, 10])
+def test_components_of_a_hot_node(spark, monkeypatch, edges_of_node):
     monkeypatch.setattr(common, "ROWS_OF_KEY", 20)
+    monkeypatch.setattr("snapmart.llm.components.EDGES_OF_NODE", edges_of_node)
     star = [(7, k) for k in range(100, 1100)]
     path = [(k, k + 1) for k in range(5000, 5050)]
     edges = spark.createDataFrame([*star, *path, (5000, 1050), (1, 2), (3, 3)], "a bigint, b bigint").repartition(5)
