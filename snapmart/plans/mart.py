@@ -153,17 +153,20 @@ class Mart:
         self,
         feeds: list[Feed],
         sources: list[DataFrame | str],
-        dates: list[dt.date],
+        dates: list[dt.date] | None,
         *,
         only_changed: bool = False,
     ) -> Slices:
-        """Ingest every feed for every date; returns each slice by (table, date).
+        """Ingest every feed for every date, or for all that they hold; returns each slice by (table, date).
 
         With ``only_changed`` a second backfill writes only slices whose rows changed.
         """
         if len(feeds) != len(sources):
             raise ValueError(f"{len(feeds)} feeds but {len(sources)} sources")
         _together(lambda feed, source: self.ingest(feed, source, dates, only_changed=only_changed), feeds, sources)
+        if dates is None:
+            held = [live_versions(self.spark, self.path("bronze", feed.table)) for feed in feeds]
+            dates = sorted({d for versions in held for d in versions if d is not None})
         return Slices({feed.table: self.bronze(feed) for feed in feeds}, dates)
 
     def bronze(self, feed: Feed, dates: list | None = None) -> DataFrame:

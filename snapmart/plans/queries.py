@@ -288,7 +288,7 @@ def bronze_slice(spark, sf_dir):
 def bronze_backfill(spark, sf_dir):
     mart = Mart(spark, scratch_path(spark, "bronze"))
     sources = [derived.RAW[name](spark, sf_dir) for name in FEEDS]
-    mart.backfill(list(FEEDS.values()), sources, months_of(*sources))
+    mart.backfill(list(FEEDS.values()), sources, None)
     stored = {name: mart.bronze(feed) for name, feed in FEEDS.items()}
     counts = quality.rows_by_domain(stored)
     return counts.filter(F.col("level") == 0).drop("level")

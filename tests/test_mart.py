@@ -121,6 +121,8 @@ def test_backfill_returns_every_slice(spark, sources, tmp_path):
         assert slices["attributes", date].count() == slice_snapshots(raw, [date]).count()
     with pytest.raises(KeyError):
         slices["attributes", dt.date(1999, 1, 1)]
+    every = store.backfill([ATTRIBUTES, FINANCIALS], [sources["attributes"], sources["financials"]], None)
+    assert set(every) == {(t, d) for t in ("attributes", "financials") for d in dates[:2]}
     with pytest.raises(ValueError, match="2 feeds but 1 sources"):
         store.backfill([ATTRIBUTES, FINANCIALS], [sources["attributes"]], dates)
 
