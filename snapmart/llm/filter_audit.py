@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapmart.llm.common import table
+from snapmart.llm.common import table, written
 
 # The filters and what fails them.
 FILTERS = "ABCDE"
@@ -248,7 +248,8 @@ def failed_filters(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             "D": s["symbols"] > 0,
         }
     )
-    return with_repeats(found.select("doc_id", "part", "sha", own.alias("mask")))
+    # Texts are read once: what follows meets a small table.
+    return with_repeats(written(found.select("doc_id", "part", "sha", own.alias("mask")), "audit-signals"))
 
 
 def with_repeats(rows: DataFrame) -> DataFrame:
