@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import threading
 import uuid
 from collections.abc import Iterable
 from contextlib import contextmanager
@@ -34,6 +35,9 @@ MANIFESTS = "_manifests"
 #: Former manifests whose folders stay, for readers that planned before the last switch.
 KEPT_MANIFESTS = 1
 
+#: Snapshot folders up to which the driver lists them itself.
+LISTED_HERE = 128
+
 #: A write that covers all snapshots of its table.
 ALL = "all"
 
@@ -249,18 +253,25 @@ def write_snapshots(
     return counted.get["rows"]
 
 
+_SETTING = threading.RLock()
+
+
 @contextmanager
 def session_settings(spark: SparkSession, **settings: str):
-    """Settings of the session while a plan is made and run; names have _ for the dot."""
+    """Settings of the session while a plan is made and run; names have _ for the dot.
+
+    Builds run in threads of one session, so one at a time may change its settings.
+    """
     names = {name: name.replace("_", ".") for name in settings}
-    old = {name: spark.conf.get(names[name], None) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(names[name], value)
-    try:
-        yield
-    finally:
-        for name, value in old.items():
-            spark.conf.unset(names[name]) if value is None else spark.conf.set(names[name], value)
+    with _SETTING:
+        old = {name: spark.conf.get(names[name], None) for name in settings}
+        for name, value in settings.items():
+            spark.conf.set(names[name], value)
+        try:
+            yield
+        finally:
+            for name, value in old.items():
+                spark.conf.unset(names[name]) if value is None else spark.conf.set(names[name], value)
 
 
 @contextmanager
@@ -347,7 +358,9 @@ def read_snapshots(
         else:
             wanted = [d for d in known.versions if dates is None or d in set(dates)] or [next(iter(known.versions))]
             folders = [_version_folder(path, d, known.versions[d]) for d in wanted]
-            table = reader.option("basePath", path).load(folders).drop(VERSION)
+            # A job for the listing pays off for many folders only.
+            with session_settings(spark, spark_sql_sources_parallelPartitionDiscovery_threshold=str(LISTED_HERE)):
+                table = reader.option("basePath", path).load(folders).drop(VERSION)
     except AnalysisException as problem:
         if problem.getCondition() in _NO_DATA:
             raise NoSnapshots(f"no snapshots under {path}") from problem
