@@ -69,7 +69,8 @@ def base_spans(text: str) -> list[Span]:
         at = text.find("@", max(at + 1, end))
     if "." in text:
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            parts = [p.lstrip("0") or "0" for p in m.group().split(".")]
+            if all(len(p) <= 3 and int(p) <= 255 for p in parts):
                 out.append((1, *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -506,7 +507,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"], s["stop"])), ","
         )
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    def number_of(kind: int):
+        # The function has one parameter: to a second one Spark passes the index of the element.
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [number_of(k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select(
         "doc_id",
         *counts,

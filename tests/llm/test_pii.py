@@ -197,3 +197,16 @@ def test_query(spark):
         base = {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in pii.base_spans(docs[r.doc_id] or "")}
         spans = r.spans.split(",") if r.spans else []
         assert base <= set(spans) and len(spans) == len(base) + r.n_added
+
+
+def test_query_counts_each_kind(spark, tmp_path):
+    """Rows with one, several and no spans of a kind, in any order of kinds."""
+    mail, ip, card, phone = "a@b.co", "10.0.0.1", "4111 1111 1111 1111", "+44-20-7946-0958"
+    rows = [
+        (1, f"{ip}, {card}", (0, 1, 1, 0)), (2, f"{phone}; {phone}; {mail}", (1, 0, 0, 2)), (3, f"{mail} {mail} {mail}", (3, 0, 0, 0)),
+        (4, f"{card}; {phone}, {ip}; {mail}", (1, 1, 1, 1)), (5, f"{card}", (0, 0, 1, 0)), (6, None, (0, 0, 0, 0)), (7, "none", (0, 0, 0, 0)),
+        (8, "0" * 5000 + "1.2.3.4, " + "0" * 5000 + "256.2.3.4", (0, 1, 0, 0)),
+    ]
+    spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in pii.op3_pii(spark, str(tmp_path)).collect()}
+    assert got == {doc_id: counts for doc_id, _, counts in rows}
