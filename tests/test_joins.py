@@ -110,6 +110,28 @@ def test_two_sides_just_under_the_limit(spark, monkeypatch):
     assert got.columns == ["k", "d", "l", "r"] and got.distinct().count() == got.count() == 8100
 
 
+def test_copies_stay_a_multiple_of_the_input(spark, monkeypatch):
+    """Two keys of 600 rows a side in cells of 4 asked for: cells widen, and no pair is lost."""
+    monkeypatch.setattr(joins, "FEW_COPIES", 0)
+    rows = [("h", i % 2, i) for i in range(1200)] + [(None, 1, i) for i in range(90)] + [(f"c{i}", 0, i) for i in range(300)]
+    left, right = frame(spark, rows, "l"), frame(spark, rows, "r")
+    grid = KeyGrid(find_heavy_keys([left, right], KEYS, rows_per_cell=4))
+    placed = grid.left(left).count() + grid.right(right).count()
+    assert grid.deals_left and placed <= (1 + joins.COPIES) * 2 * len(rows)
+    got = joins.balanced_join(left, right, KEYS, "inner", rows_per_cell=4)
+    assert got.distinct().count() == got.count() == 2 * 600**2 + 300
+    assert joins.balanced_join(left, right, KEYS, "left", rows_per_cell=4).count() == 2 * 600**2 + 300 + 90
+
+
+def test_widened_cells_keep_the_bound_of_rows(spark, monkeypatch):
+    """Cells widen up to the most rows that a task should take of a side, whatever the copies."""
+    monkeypatch.setattr(joins, "FEW_COPIES", 0)
+    monkeypatch.setattr(joins, "ROWS_PER_CELL", 50)
+    left, right = frame(spark, [("h", 1, i) for i in range(600)], "l"), frame(spark, [("h", 1, i) for i in range(600)], "r")
+    (key,) = find_heavy_keys([left, right], KEYS, rows_per_cell=4).sizes.collect()
+    assert (key.n_left, key.n_right) == (12, 12)
+
+
 @pytest.mark.parametrize("rows_per_cell", [5, joins.ROWS_PER_CELL])
 def test_repeated_key_rows(spark, rows_per_cell):
     rows = make_rows(3, 200, ("h", 1))
