@@ -132,6 +132,41 @@ def test_widened_cells_keep_the_bound_of_rows(spark, monkeypatch):
     assert (key.n_left, key.n_right) == (12, 12)
 
 
+def test_tasks_make_like_numbers_of_pairs(spark, monkeypatch):
+    """Three hot keys of 400 rows in grids of 4 x 4: no task makes more than its cells' share, whatever their bytes."""
+    monkeypatch.setattr(joins, "FEW_COPIES", 0)
+    rows = [(f"h{i % 3}", 1, i) for i in range(1200)] + [(f"c{i}", 0, i) for i in range(60)]
+    left, right = frame(spark, rows, "l"), frame(spark, rows, "r")
+    got = joins.balanced_join(left, right, KEYS, "inner", rows_per_cell=100)
+    per_task = {r.t: r["count"] for r in got.groupBy(F.spark_partition_id().alias("t")).count().collect()}
+    pairs = 3 * 400**2 + 60
+    assert sum(per_task.values()) == pairs and len(per_task) == 8 and max(per_task.values()) < 1.5 * pairs / 8
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_keys_of_two_types_meet(spark, how):
+    """An int key and an equal long key go to one task, heavy or light."""
+    rows = [(i % 7 if i % 2 else 100, i) for i in range(300)] + [(None, 1), (8, 2)]
+    left = spark.createDataFrame(rows, "k int, l int").repartition(3)
+    right = spark.createDataFrame([r for r in rows if r[0] != 3], "k bigint, r int").repartition(3)
+    got = Counter((r.k, r.l, r.r) for r in joins.balanced_join(left, right, ("k",), how, rows_per_cell=30).collect())
+    want = Counter()
+    for k, v in rows:
+        hits = [w for q, w in rows if k is not None and q == k and k != 3]
+        want.update((k, v, w) for w in hits or ([None] if how == "left" else []))
+    assert got == want
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_balanced_join_equals_nested_loop(spark, how):
+    """Null keys, hot keys on one side or both, and groups of equal rows, dealt out to more tasks than cells."""
+    left_rows, right_rows = make_rows(1, 240, ("h", 1)), make_rows(2, 150, ("h", 1)) + [("g", 0, i) for i in range(40)]
+    left_rows += [("g", 0, 1), ("g", 0, 2), ("only left", 0, 1)]
+    got = joins.balanced_join(frame(spark, left_rows, "l"), frame(spark, right_rows, "r"), KEYS, how, rows_per_cell=9)
+    assert got.columns == ["k", "d", "l", "r"]
+    assert Counter(map(tuple, got.collect())) == brute_force(left_rows, right_rows, how)
+
+
 @pytest.mark.parametrize("rows_per_cell", [5, joins.ROWS_PER_CELL])
 def test_repeated_key_rows(spark, rows_per_cell):
     rows = make_rows(3, 200, ("h", 1))
